@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framequarry.llm import fingerprints, pii
+from framequarry.llm import bpe, fingerprints, pii, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_pii": pii.op3_pii,
         "op5_fingerprints": fingerprints.op5_fingerprints,
+        "op6_warc": warc.op6_warc,
+        "op7_bpe": bpe.op7_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": warc.OP6_SQL}
