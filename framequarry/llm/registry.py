@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framequarry.llm import bpe, fingerprints, pii, warc
+from framequarry.llm import bpe, fingerprints, near_dedup, pii, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_near_dedup": near_dedup.op2_near_dedup,
         "op3_pii": pii.op3_pii,
         "op5_fingerprints": fingerprints.op5_fingerprints,
         "op6_warc": warc.op6_warc,
@@ -19,4 +20,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": warc.OP6_SQL}
+    return {"op2_near_dedup": near_dedup.OP2_SQL, "op6_warc": warc.OP6_SQL}
