@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framequarry.llm import bpe, fingerprints, near_dedup, pii, warc
+from framequarry.llm import bpe, fingerprints, near_dedup, pii, url_cascade, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_cascade": url_cascade.op1_url_cascade,
         "op2_near_dedup": near_dedup.op2_near_dedup,
         "op3_pii": pii.op3_pii,
         "op5_fingerprints": fingerprints.op5_fingerprints,
@@ -20,4 +21,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_dedup": near_dedup.OP2_SQL, "op6_warc": warc.OP6_SQL}
+    return {"op1_url_cascade": url_cascade.OP1_SQL, "op2_near_dedup": near_dedup.OP2_SQL, "op6_warc": warc.OP6_SQL}
