@@ -163,8 +163,8 @@ def _bucket(value: Column, cuts: list[int]) -> Column:
         return F.lit(0)
     step = max(1, int(len(cuts) ** 0.5))
     at_least = lambda c: c >= value
-    above = F.size(F.filter(F.lit(cuts[::step]), at_least))
-    within = F.size(F.filter(F.slice(F.lit(cuts), (above - 1) * step + 1, F.lit(step)), at_least))
+    above = F.size(F.filter(F.lit(np.array(cuts[::step], np.int64)), at_least))
+    within = F.size(F.filter(F.slice(F.lit(np.array(cuts, np.int64)), (above - 1) * step + 1, F.lit(step)), at_least))
     return F.when(value.isNull(), len(cuts)).when(above == 0, 0).otherwise((above - 1) * step + within)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framequarry.llm import bpe, fingerprints, near_dedup, pii, url_cascade, warc
+from framequarry.llm import bpe, decontam, fingerprints, near_dedup, pii, secret_scan, url_cascade, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_fingerprints": fingerprints.op5_fingerprints,
         "op6_warc": warc.op6_warc,
         "op7_bpe": bpe.op7_bpe,
+        "op8_secrets": secret_scan.op8_secrets,
+        "op9_decontam": decontam.op9_decontam,
     }
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,11 @@ def _filter(keys: DataFrame, level: int, bits: int) -> DataFrame:
     return sparse.select(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bits // 64 - 1).cast("long")), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("long"))).alias("words"))
 
 
+def _words(words: list[int]) -> Column:
+    """A filter's words as one literal."""
+    return F.lit(np.array(words, np.int64))
+
+
 def _takes(words: Column, key: Column, level: int, bits: int) -> Column:
     out = F.lit(True)
     for k in range(HASHES):
@@ -99,7 +105,7 @@ class Cascade:
         out = F.lit(len(self.levels) % 2 == 1)
         for level in range(len(self.levels), 0, -1):
             words, bits = self.levels[level - 1]
-            out = F.when(~_takes(F.lit(words), key, level, bits), F.lit(level % 2 == 0)).otherwise(out)
+            out = F.when(~_takes(_words(words), key, level, bits), F.lit(level % 2 == 0)).otherwise(out)
         return out
 
 
@@ -120,7 +126,7 @@ def build(universe: DataFrame) -> Cascade | None:
         level = len(levels) + 1
         words = list(_filter(inside, level, bits).first().words)
         levels.append((words, bits))
-        wrong = materialize(outside.where(_takes(F.lit(words), F.col("key"), level, bits)), "cascade")
+        wrong = materialize(outside.where(_takes(_words(words), F.col("key"), level, bits)), "cascade")
         inside, outside = wrong, inside
 
 
