@@ -9,7 +9,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Entries after which a worker's word cache is emptied.
 CACHE_LIMIT = 400_000
@@ -112,3 +113,39 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     for k in range(1, size):
         total += mix(hashes[k : k + count] + U(k)) * weights[k]
     return np.unique(mix(total))
+
+
+def remainder(doc_id: Column, modulus: int) -> Column:
+    """crc32 of an id as text, modulo ``modulus``; a null id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: Column, per_class: int, max_bytes: int) -> tuple[list[str], np.ndarray, float]:
+    """(texts, labels, share of label 1) to fit a classifier on.
+
+    Of each class, the ``per_class`` labelled ids with the smallest hashes are
+    taken, of their texts those of up to ``max_bytes``. Both bounds keep what
+    reaches the driver small; the share is counted over all labels in the
+    fold. ``docs`` has doc_id and text; an id with several labels counts as
+    toxic or good where one of them says so.
+    """
+    kept = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(in_fold & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+    kept = kept.groupBy("doc_id").agg(F.max("label").alias("label"))
+    counts = {r.label: r["count"] for r in kept.groupBy("label").count().collect()}
+    ids = None
+    for value in (0, 1):
+        some = kept.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        ids = some if ids is None else ids.unionByName(some)
+    # 2 * per_class ids at most
+    rows = docs.where(F.octet_length("text").between(1, max_bytes)).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    found = sorted(rows.collect(), key=lambda r: r.doc_id)
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    return [r.text for r in found], np.array([r.label for r in found], np.int64), share
+
+
+def class_weights(labels: np.ndarray, share: float) -> np.ndarray:
+    """Weights that give a sample of both classes the share of label 1 that the whole has; 1 on average."""
+    ones = labels.mean() if len(labels) else 0.0
+    if ones in (0.0, 1.0):
+        return np.ones(len(labels))
+    return np.where(labels == 1, share / ones, (1 - share) / (1 - ones))

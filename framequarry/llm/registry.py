@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framequarry.llm import bpe, decontam, fingerprints, near_dedup, pii, secret_scan, url_cascade, warc
+from framequarry.llm import bpe, decontam, fingerprints, near_dedup, pii, quality, secret_scan, toxicity, url_cascade, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,11 +14,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_cascade": url_cascade.op1_url_cascade,
         "op2_near_dedup": near_dedup.op2_near_dedup,
         "op3_pii": pii.op3_pii,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_fingerprints": fingerprints.op5_fingerprints,
         "op6_warc": warc.op6_warc,
         "op7_bpe": bpe.op7_bpe,
         "op8_secrets": secret_scan.op8_secrets,
         "op9_decontam": decontam.op9_decontam,
+        "op10_quality": quality.op10_quality,
     }
 
 
