@@ -6,8 +6,10 @@ plan, so choosing one needs neither a join nor a window.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: Patch size, crop size, margins (patches a side), crops, pooling of images and of video frames.
 PATCH, SIZE, MARGIN, MAX_CROPS = 14, 378, 4, 8
@@ -75,16 +77,17 @@ def image_tokens(grid: Column, col_tokens: bool = True, single_crop_col_tokens:
     return F.concat(_block(LOW_START_TOKEN if single_crop_start_token else START_TOKEN, grid["resized_h"], grid["resized_w"], low), _block(START_TOKEN, grid["h"], grid["w"], col_tokens))
 
 
-def _tenths(seconds: Column) -> Column:
-    """A time with one decimal, rounded from its exact binary value, half to even."""
-    return F.format_string("%.1f", F.bround(seconds.cast("decimal(38,18)"), 1))
+@F.pandas_udf(ArrayType(StringType()))
+def time_labels(times: pd.Series) -> pd.Series:
+    """Times with one decimal, rounded from their exact binary values, half to even."""
+    return pd.Series([None if x is None else [f"{t:.1f}" for t in x] for x in times], dtype=object)
 
 
 def video_string(times: Column, h: Column, w: Column, col_tokens: bool = False, frame_tokens: bool = True) -> Column:
     """Token string of a video: each frame's time and patches, with a space between frames."""
     start, end = (FRAME_START_TOKEN, FRAME_END_TOKEN) if frame_tokens else (START_TOKEN, END_TOKEN)
     row = F.concat(F.repeat(F.lit(PATCH_TOKEN), w), F.lit(COL_TOKEN if col_tokens else ""))
-    return F.array_join(F.transform(times, lambda t: F.concat(_tenths(t), F.lit(" " + start), F.repeat(row, h), F.lit(end))), " ")
+    return F.array_join(F.transform(time_labels(times), lambda t: F.concat(t, F.lit(" " + start), F.repeat(row, h), F.lit(end))), " ")
 
 
 def crop_rectangles(tiling: Column) -> Column:
