@@ -142,7 +142,7 @@ def write_text_files(files: DataFrame, folder: str, name: str = "file_name", tex
             done = []
             for n, t in zip(batch[name], batch[text], strict=True):
                 data = (t or "").encode()
-                with store.open_output_stream(f"{root}/{n}") as out:
+                with store.open_output_stream(f"{root}/{n}", compression=None) as out:
                     out.write(data)
                 done.append((f"{folder}/{n}", len(data)))
             yield pd.DataFrame(done, columns=["path", "bytes"])
@@ -164,7 +164,7 @@ def write_clips(frames: DataFrame, encoder, folder: str) -> DataFrame:
         store.create_dir(root, recursive=True)
         data = encoder(batch.sort_values("frame_idx")["data"].tolist())
         if data is not None:
-            with store.open_output_stream(f"{root}/{key[0]}") as out:
+            with store.open_output_stream(f"{root}/{key[0]}", compression=None) as out:
                 out.write(data)
         return pd.DataFrame([(key[0], len(batch), data is not None)], columns=["file_name", "n_frames", "written"])
 
