@@ -137,7 +137,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: Col
         some = kept.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
     # 2 * per_class ids at most
-    rows = docs.where(F.octet_length("text").between(1, max_bytes)).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    rows = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes)).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
     found = sorted(rows.collect(), key=lambda r: r.doc_id)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return [r.text for r in found], np.array([r.label for r in found], np.int64), share

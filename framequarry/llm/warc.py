@@ -153,7 +153,7 @@ def write_archives(pages: DataFrame, folder: str, **columns: str) -> DataFrame:
                 store, root = fs.FileSystem.from_uri(folder)
                 store.create_dir(root, recursive=True)
                 path = f"{root}/{uuid.uuid4().hex}.warc.zst"
-                sink = store.open_output_stream(path)
+                sink = store.open_output_stream(path, compression=None)
                 archive = Archive(sink, dictionary)
             for page_id, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 archive.add(render(page_id, url, payload, digest, refers_to))
@@ -184,7 +184,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
             for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 store, place = fs.FileSystem.from_uri(path)
                 out, count = [], 0
-                with store.open_input_stream(place) as source:
+                with store.open_input_stream(place, compression=None) as source:
                     for record in records(source):
                         headers, body = parse(record)
                         kind, digest, size = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha256:"), int(headers["X-Payload-Length"])
