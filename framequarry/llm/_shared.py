@@ -133,8 +133,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: Col
     kept = kept.groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r.label: r["count"] for r in kept.groupBy("label").count().collect()}
     ids = None
+    span = 1 << 40
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(span))
     for value in (0, 1):
-        some = kept.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        # a bound on the hash leaves some four times as many as wanted, so that tasks don't all send their first to the driver
+        bound = min(span, 4 * span * per_class // max(1, counts.get(value, 0)) + 1)
+        some = kept.where((F.col("label") == value) & (place < bound)).orderBy(place, "doc_id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
     # 2 * per_class ids at most
     rows = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes)).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))

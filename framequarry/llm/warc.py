@@ -142,7 +142,10 @@ def write_archives(pages: DataFrame, folder: str, **columns: str) -> DataFrame:
     """Write ``pages`` as archives in ``folder``; returns the manifest (path, records, bytes), written as a table."""
     planned = plan_records(pages, **columns)
     html = F.coalesce(F.col(columns.get("html_col", "html")).cast("string"), F.lit("")).cast("binary")
-    sample = pages.select(html.alias("payload")).where(F.length("payload").between(1, SAMPLE_BYTES)).withColumn("digest", F.sha2("payload", 256)).orderBy("digest").limit(SAMPLE_RECORDS).collect()
+    # a bound on the digest leaves some four times as many as wanted, so that tasks don't all send their first to the driver
+    bound = min(1 << 32, (4 * SAMPLE_RECORDS << 32) // max(1, pages.count()) + 1)
+    small = pages.select(html.alias("payload")).where(F.length("payload").between(1, SAMPLE_BYTES)).withColumn("digest", F.sha2("payload", 256))
+    sample = small.where(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") < bound).orderBy("digest").limit(SAMPLE_RECORDS).collect()
     dictionary = train(list(dict.fromkeys(render(0, "http://example.com/", bytes(x.payload), x.digest, None) for x in sample)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
