@@ -21,7 +21,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Join every larger neighbour of a node to the smallest node around it."""
     near = _both(edges)
     least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not mark[0]:
             break
-        now = materialize(_small_star(_large_star(now)), "links")
+        # each half reads its links twice, so the first is written before the second begins
+        now = materialize(_small_star(materialize(_large_star(now), "links")), "links")
         before, mark = mark, _mark(now)
         if before == mark:
             break

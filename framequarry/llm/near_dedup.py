@@ -9,13 +9,16 @@
    those are all documents of the prefix, in a dense one only those that share
    a much deeper prefix, so the depth follows the density of the region.
    The orders are range-partitioned, so a large group is spread over tasks.
-3. Candidates are confirmed on full sets in three rounds: each document with
-   its two most similar candidates; then what candidates still join different
-   components; then, in regions with more members than a document has
-   successors, the documents outside the region's largest component, against
-   all members of the region. The third round makes up for the bound on
-   successors: pairs that it skips are in one component already.
-4. Components of the links, by alternating stars.
+3. Candidates are confirmed on full sets in two rounds: each document with its
+   two most similar candidates; then all candidates that still join different
+   components. So a dense group costs few comparisons.
+4. The bound on successors is made up for: in every region with more members
+   than a document has successors, or where only the best were taken, the documents outside the region's largest
+   component are compared with all its members of other components, in blocks
+   of signatures of bounded size, and likely pairs confirmed. Pairs that this
+   skips are in one component already. A region of more than ``REGION``
+   members counts at the greater depth ``DEEP``.
+5. Components of the links, by alternating stars.
 """
 
 from __future__ import annotations
@@ -35,18 +38,28 @@ POSITIONS = 48
 TREES = 12
 MIN_DEPTH = 3
 NEIGHBOURS = 8
+#: Of a full set of successors, those that are taken at first.
+DENSE = 3
 #: How far below the threshold a signature's share of equal positions may lie, in standard deviations.
 SLACK = 4.5
+#: Members from which on a region is taken deeper in the last search, that depth, and the members in a block.
+REGION = 4096
+DEEP = 8
+BLOCK = 1024
+#: Positions of the longer signature that the last search compares.
+DETAIL = 128
+#: Partners of a document that are confirmed in one place.
+PARTNERS = 256
 #: Bits of the filter that picks out the texts to be confirmed, at most (16 MB).
 FILTER_BITS = 1 << 27
 
-_A = odd_multipliers(POSITIONS, 11)
+_A = odd_multipliers(DETAIL, 11)
 _ORDERS = np.stack([np.random.default_rng(1000 + t).permutation(POSITIONS) for t in range(TREES)])
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """MinHash signature of a set of 64-bit hashes: big-endian 16-bit values."""
-    least = np.full(POSITIONS, U(0xFFFFFFFFFFFFFFFF))
+    """MinHash signature of a set of 64-bit hashes: ``DETAIL`` big-endian 16-bit values."""
+    least = np.full(DETAIL, U(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(hashes), 4096):
         least = np.minimum(least, (hashes[None, at : at + 4096] * _A[:, None]).min(axis=1))
     return (mix(least) >> U(48)).astype(">u2").tobytes()
@@ -60,10 +73,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def least_equal(percent: int) -> int:
+def least_equal(percent: int, positions: int = POSITIONS) -> int:
     """Equal positions below which a pair isn't looked at: true links have fewer once in some 100,000."""
     p = percent / 100
-    return max(MIN_DEPTH, int(POSITIONS * p - SLACK * (POSITIONS * p * (1 - p)) ** 0.5))
+    return max(MIN_DEPTH, int(positions * p - SLACK * (positions * p * (1 - p)) ** 0.5))
 
 
 def sign(docs: DataFrame, width: int) -> DataFrame:
@@ -83,12 +96,12 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _forest(classes: DataFrame) -> DataFrame:
-    """A row per class and tree, its signature in the tree's order."""
+    """A row per class and tree, the first positions of its signature in the tree's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=1024):
             n = batch.num_rows
-            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u2").reshape(n, POSITIONS)
+            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u2").reshape(n, DETAIL)
             for t, order in enumerate(_ORDERS):
                 data = np.ascontiguousarray(values[:, order]).tobytes()
                 step = 2 * POSITIONS
@@ -105,15 +118,27 @@ def _pairs(rows: tuple[np.ndarray, ...], allowed, percent: int):
     """
     tree, keys, ids, sizes = rows
     enough = least_equal(percent)
+    found = []
     for offset in range(1, min(NEIGHBOURS, len(ids) - 1) + 1):
         a, b = slice(None, -offset), slice(offset, None)
         near = allowed(a, b) & (keys[a, :MIN_DEPTH] == keys[b, :MIN_DEPTH]).all(axis=1) & (tree[a] == tree[b]) & (ids[a] != ids[b])
         near &= 100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b])
         at = np.flatnonzero(near)
-        if len(at):
-            equal = (keys[at] == keys[at + offset]).sum(axis=1)
-            good = equal >= enough
-            yield ids[at][good], ids[at + offset][good], equal[good]
+        equal = (keys[at] == keys[at + offset]).sum(axis=1)
+        good = equal >= enough
+        found.append((at[good], at[good] + offset, equal[good]))
+    if not found:
+        return
+    first, second, equal = (np.concatenate(x) for x in zip(*found, strict=True))
+    # a row with no room for more successors lies in a dense region, which is searched once more anyway: its best do for now
+    order = np.lexsort((second, -equal, first))
+    first, second, equal = first[order], second[order], equal[order]
+    starts = np.flatnonzero(np.append(True, first[1:] != first[:-1])) if len(first) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(starts, len(first)))
+    place = np.arange(len(first)) - np.repeat(starts, sizes)
+    good = (np.repeat(sizes, sizes) < NEIGHBOURS) | (place < DENSE)
+    if good.any():
+        yield ids[first[good]], ids[second[good]], equal[good]
 
 
 def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
@@ -210,20 +235,22 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     """Those of ``pairs`` (u, v) whose full sets are linked.
 
     Partners meet at u: its text is sent there once and each partner's text
-    once. Pairs come in with a bounded number of partners a document.
+    once. Where u has more than ``PARTNERS``, they are spread over as many
+    places as it takes.
     """
-    pairs = pairs.select("u", "v")
-    wanted = pairs.select(F.col("u").alias("home"), F.col("v").alias("doc_id")).unionByName(pairs.select(F.col("u").alias("home"), F.col("u").alias("doc_id")).distinct())
-    rows = docs.join(wanted, "doc_id").select("home", "doc_id", "text")
+    many = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > PARTNERS)
+    pairs = pairs.select("u", "v").join(many, "u", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("v"), F.ceil(F.col("k") / PARTNERS)), F.lit(0).cast("long")))
+    wanted = pairs.select(F.col("u").alias("home"), "salt", F.col("v").alias("doc_id")).unionByName(pairs.select(F.col("u").alias("home"), "salt", F.col("u").alias("doc_id")).distinct())
+    rows = docs.join(wanted, "doc_id").select("home", "salt", "doc_id", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, "home").sortWithinPartitions(F.asc("home"), F.asc(F.col("home") != F.col("doc_id")), F.asc("doc_id"))
+    rows = rows.repartition(parts, "home", "salt").sortWithinPartitions(F.asc("home"), F.asc("salt"), F.asc(F.col("home") != F.col("doc_id")), F.asc("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home, own, out = None, [], []
         for batch in slices(batches):
-            for at, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != home:
-                    home, own = at, []
+            for at, salt, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (at, salt) != home:
+                    home, own = (at, salt), []
                 hashes = shingle_set(text, width)
                 if doc == at:
                     own.append(hashes)
@@ -243,39 +270,57 @@ def _label(frame: DataFrame, name: str, parts: DataFrame, out: str) -> DataFrame
 
 
 def _rest(classes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the bound on successors may have passed over and that join different components.
-
-    In each tree, regions (documents with an equal prefix of ``MIN_DEPTH``)
-    that have more members than a document has successors, and of which one
-    component holds the better half, are looked at again: the few documents
-    outside that component against all members of the region.
-    """
-    region = F.xxhash64("tree", F.substring("key", 1, 2 * MIN_DEPTH))
-    rows = _forest(classes).withColumn("region", region)
-    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > NEIGHBOURS + 1)
-    members = materialize(_label(rows.join(sizes, "region"), "id", parts, "component"), "regions")
-    shares = members.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"), F.first("members").alias("members"))
-    main = shares.where("2 * k > members and k < members").select("region", F.col("component").alias("main"))
-    few = members.join(main, "region").where("component <> main")
-    a, b = (x.select("region", *(F.col(c).alias(f"{c}_{k}") for c in ("id", "n", "key", "component"))) for x, k in ((few, "a"), (members, "b")))
-    pairs = a.join(b, "region").where(f"component_a <> component_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    enough = least_equal(percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), ">u2").reshape(batch.num_rows, POSITIONS) for k in (2, 3))
-            yield batch.filter(pa.array((x == y).sum(axis=1) >= enough)).select(["id_a", "id_b"])
-
-    near = pairs.select("id_a", "id_b", "key_a", "key_b").mapInArrow(run, "id_a long, id_b long")
-    return near.select(F.least("id_a", "id_b").alias("u"), F.greatest("id_a", "id_b").alias("v")).distinct()
+    """Likely pairs (u, v) of different components that the bound on successors may have passed over."""
+    forest = _forest(classes).select("tree", "key", "id")
+    at = lambda depth: F.xxhash64("tree", F.substring("key", 1, 2 * depth))
+    rows = forest.select(at(MIN_DEPTH).alias("near"), at(DEEP).alias("deep"), "id")
+    sizes = rows.groupBy("near").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > NEIGHBOURS)
+    rows = rows.join(sizes, "near").select(F.when(F.col("k") > REGION, F.col("deep")).otherwise(F.col("near")).alias("region"), "id")
+    members = materialize(_label(rows, "id", parts, "component"), "regions")
+    shares = members.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"))
+    regions = shares.groupBy("region").agg(F.max_by("component", F.struct("k", -F.col("component"))).alias("main"), F.sum("k").alias("members"), F.max("k").alias("largest")).where("members > largest")
+    regions = regions.select("region", "main", F.ceil(F.col("members") / BLOCK).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / BLOCK).alias("few_blocks"))
+    # only what may be paired carries its signature
+    rows = members.join(regions, "region").join(classes.select("id", "n", "signature"), "id")
+    few = F.col("component") != F.col("main")
+    to = lambda own, other, side: F.transform(F.sequence(F.lit(0).cast("long"), F.col(other) - 1), lambda k: F.struct(*((k, own) if side else (own, k)), F.lit(side).alias("side")))
+    kind = "array<struct<few_block:bigint,block:bigint,side:int>>"
+    dealt = F.concat(to(F.pmod(F.xxhash64("id"), F.col("blocks")), "few_blocks", 1).cast(kind), F.when(few, to(F.pmod(F.xxhash64("id"), F.col("few_blocks")), "blocks", 0).cast(kind)).otherwise(F.array().cast(kind)))
+    dealt = rows.select("region", "id", "n", "component", "signature", F.inline(dealt))
+    enough = least_equal(percent, DETAIL)
+
+    def run(group: pa.Table) -> pa.Table:
+        side, ids, sizes, component = (group.column(c).to_numpy() for c in ("side", "id", "n", "component"))
+        values = np.frombuffer(b"".join(group.column("signature").to_pylist()), ">u2").reshape(len(ids), DETAIL).astype(np.uint16)
+        all_of = np.flatnonzero(side == 1)
+        us, vs = [], []
+        for x in np.flatnonzero(side == 0):
+            likely = all_of[(component[all_of] != component[x]) & (100 * np.minimum(sizes[all_of], sizes[x]) >= percent * np.maximum(sizes[all_of], sizes[x]))]
+            likely = likely[(values[likely] == values[x]).sum(axis=1) >= enough]
+            us += [ids[x]] * len(likely)
+            vs += ids[likely].tolist()
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    found = dealt.groupBy("region", "few_block", "block").applyInArrow(run, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (id, component_id) after more links (u, v) between its components; ids in no component are their own."""
+    links = _label(_label(links, "u", parts, "cu"), "v", parts, "cv").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    joined = connected_components(links)
+    old = parts.join(joined.select(F.col("id").alias("component_id"), F.col("component_id").alias("now")), "component_id", "left").select("id", F.coalesce("now", "component_id").alias("component_id"))
+    fresh = joined.join(parts, "id", "left_anti").select("id", "component_id")
+    return materialize(old.unionByName(fresh), "components")
 
 
 def components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_shingles, component_id), one row a row.
 
-    Rows with one doc_id are one document with several texts. A null id can't
-    name a component: such a row gets none and links nothing. Texts that are
-    null or without words have no shingles and stand alone.
+    Ids are meant to be unique; rows that repeat one with another text are
+    grouped by their own texts. A null id can't name a component: such a row
+    gets none and links nothing. Texts that are null or without words have no
+    shingles and stand alone.
     """
     signed = materialize(sign(docs, width), "signatures")
     live = signed.where("doc_id is not null and set_key is not null")
@@ -286,21 +331,18 @@ def components(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     either = candidates.select("u", "v", "equal", F.col("u").alias("at")).unionByName(candidates.select("u", "v", "equal", F.col("v").alias("at")))
     best = Window.partitionBy("at").orderBy(F.desc("equal"), "u", "v")
-    first = either.withColumn("k", F.row_number().over(best)).where("k <= 2").select("u", "v").distinct()
+    first = materialize(either.withColumn("k", F.row_number().over(best)).where("k <= 2").select("u", "v").distinct(), "pairs")
     texts = texts_of(docs, candidates.select(F.explode(F.array("u", "v")).alias("id")))
-    links = materialize(confirm(first, texts, width, percent), "links")
-
-    grouped = connected_components(links)
+    grouped = connected_components(confirm(first, texts, width, percent))
     left = _label(_label(candidates.select("u", "v").join(first, ["u", "v"], "left_anti"), "u", grouped, "cu"), "v", grouped, "cv").where("cu <> cv")
-    links = materialize(links.unionByName(confirm(left, texts, width, percent)), "links")
-
-    same = live.join(classes.select("set_key", "id"), "set_key").where("doc_id <> id").select(F.col("doc_id").alias("u"), F.col("id").alias("v")).distinct()
-    grouped = connected_components(links)
-    rest = materialize(_rest(classes, grouped, percent), "rest")
+    grouped = _merged(grouped, confirm(materialize(left.select("u", "v"), "pairs"), texts, width, percent))
+    rest = materialize(_rest(classes, grouped, percent), "pairs")
     texts = texts_of(docs, rest.select(F.explode(F.array("u", "v")).alias("id")))
-    links = links.unionByName(confirm(rest, texts, width, percent)).unionByName(same)
-    final = connected_components(links).withColumnRenamed("id", "doc_id")
-    return signed.select("doc_id", "n_shingles").join(final, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    grouped = _merged(grouped, confirm(rest, texts, width, percent))
+
+    rows = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    rows = rows.join(classes.select("set_key", "id"), "set_key", "left")
+    return rows.join(grouped, "id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "id", "doc_id").alias("component_id"))
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
