@@ -13,11 +13,11 @@
    two most similar candidates; then all candidates that still join different
    components. So a dense group costs few comparisons.
 4. The bound on successors is made up for: in every region with more members
-   than a document has successors, or where only the best were taken, the documents outside the region's largest
-   component are compared with all its members of other components, in blocks
-   of signatures of bounded size, and likely pairs confirmed. Pairs that this
-   skips are in one component already. A region of more than ``REGION``
-   members counts at the greater depth ``DEEP``.
+   than a document has successors, the documents outside the region's largest
+   component are compared with all its members of other components, full sets
+   against full sets, in blocks of bounded size, and only links come out.
+   Pairs that this skips are in one component already. A region of more than
+   ``REGION`` members counts at the greater depth ``DEEP``.
 5. Components of the links, by alternating stars.
 """
 
@@ -45,21 +45,17 @@ SLACK = 4.5
 #: Members from which on a region is taken deeper in the last search, that depth, and the members in a block.
 REGION = 4096
 DEEP = 8
-BLOCK = 1024
-#: Positions of the longer signature that the last search compares.
-DETAIL = 128
-#: Partners of a document that are confirmed in one place.
-PARTNERS = 256
+BLOCK = 256
 #: Bits of the filter that picks out the texts to be confirmed, at most (16 MB).
 FILTER_BITS = 1 << 27
 
-_A = odd_multipliers(DETAIL, 11)
+_A = odd_multipliers(POSITIONS, 11)
 _ORDERS = np.stack([np.random.default_rng(1000 + t).permutation(POSITIONS) for t in range(TREES)])
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """MinHash signature of a set of 64-bit hashes: ``DETAIL`` big-endian 16-bit values."""
-    least = np.full(DETAIL, U(0xFFFFFFFFFFFFFFFF))
+    """MinHash signature of a set of 64-bit hashes: ``POSITIONS`` big-endian 16-bit values."""
+    least = np.full(POSITIONS, U(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(hashes), 4096):
         least = np.minimum(least, (hashes[None, at : at + 4096] * _A[:, None]).min(axis=1))
     return (mix(least) >> U(48)).astype(">u2").tobytes()
@@ -73,10 +69,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def least_equal(percent: int, positions: int = POSITIONS) -> int:
+def least_equal(percent: int) -> int:
     """Equal positions below which a pair isn't looked at: true links have fewer once in some 100,000."""
     p = percent / 100
-    return max(MIN_DEPTH, int(positions * p - SLACK * (positions * p * (1 - p)) ** 0.5))
+    return max(MIN_DEPTH, int(POSITIONS * p - SLACK * (POSITIONS * p * (1 - p)) ** 0.5))
 
 
 def sign(docs: DataFrame, width: int) -> DataFrame:
@@ -96,12 +92,12 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _forest(classes: DataFrame) -> DataFrame:
-    """A row per class and tree, the first positions of its signature in the tree's order."""
+    """A row per class and tree, its signature in the tree's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=1024):
             n = batch.num_rows
-            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u2").reshape(n, DETAIL)
+            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u2").reshape(n, POSITIONS)
             for t, order in enumerate(_ORDERS):
                 data = np.ascontiguousarray(values[:, order]).tobytes()
                 step = 2 * POSITIONS
@@ -235,22 +231,20 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     """Those of ``pairs`` (u, v) whose full sets are linked.
 
     Partners meet at u: its text is sent there once and each partner's text
-    once. Where u has more than ``PARTNERS``, they are spread over as many
-    places as it takes.
+    once. Pairs come in with a bounded number of partners a document.
     """
-    many = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > PARTNERS)
-    pairs = pairs.select("u", "v").join(many, "u", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("v"), F.ceil(F.col("k") / PARTNERS)), F.lit(0).cast("long")))
-    wanted = pairs.select(F.col("u").alias("home"), "salt", F.col("v").alias("doc_id")).unionByName(pairs.select(F.col("u").alias("home"), "salt", F.col("u").alias("doc_id")).distinct())
-    rows = docs.join(wanted, "doc_id").select("home", "salt", "doc_id", "text")
+    pairs = pairs.select("u", "v")
+    wanted = pairs.select(F.col("u").alias("home"), F.col("v").alias("doc_id")).unionByName(pairs.select(F.col("u").alias("home"), F.col("u").alias("doc_id")).distinct())
+    rows = docs.join(wanted, "doc_id").select("home", "doc_id", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, "home", "salt").sortWithinPartitions(F.asc("home"), F.asc("salt"), F.asc(F.col("home") != F.col("doc_id")), F.asc("doc_id"))
+    rows = rows.repartition(parts, "home").sortWithinPartitions(F.asc("home"), F.asc(F.col("home") != F.col("doc_id")), F.asc("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home, own, out = None, [], []
         for batch in slices(batches):
-            for at, salt, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (at, salt) != home:
-                    home, own = (at, salt), []
+            for at, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != home:
+                    home, own = at, []
                 hashes = shingle_set(text, width)
                 if doc == at:
                     own.append(hashes)
@@ -269,40 +263,47 @@ def _label(frame: DataFrame, name: str, parts: DataFrame, out: str) -> DataFrame
     return frame.join(parts.select(F.col("id").alias(name), F.col("component_id").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
 
 
-def _rest(classes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (u, v) of different components that the bound on successors may have passed over."""
-    forest = _forest(classes).select("tree", "key", "id")
+def _rest(docs: DataFrame, classes: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between components that the bound on successors may have passed over."""
     at = lambda depth: F.xxhash64("tree", F.substring("key", 1, 2 * depth))
-    rows = forest.select(at(MIN_DEPTH).alias("near"), at(DEEP).alias("deep"), "id")
+    rows = _forest(classes).select(at(MIN_DEPTH).alias("near"), at(DEEP).alias("deep"), "id")
     sizes = rows.groupBy("near").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > NEIGHBOURS)
     rows = rows.join(sizes, "near").select(F.when(F.col("k") > REGION, F.col("deep")).otherwise(F.col("near")).alias("region"), "id")
     members = materialize(_label(rows, "id", parts, "component"), "regions")
     shares = members.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"))
     regions = shares.groupBy("region").agg(F.max_by("component", F.struct("k", -F.col("component"))).alias("main"), F.sum("k").alias("members"), F.max("k").alias("largest")).where("members > largest")
     regions = regions.select("region", "main", F.ceil(F.col("members") / BLOCK).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / BLOCK).alias("few_blocks"))
-    # only what may be paired carries its signature
-    rows = members.join(regions, "region").join(classes.select("id", "n", "signature"), "id")
+    mixed = materialize(members.join(regions, "region"), "regions")
+    rows = mixed.join(texts_of(docs, mixed.select("id").distinct()).withColumnRenamed("doc_id", "id"), "id")
     few = F.col("component") != F.col("main")
+    number = F.xxhash64("id")
     to = lambda own, other, side: F.transform(F.sequence(F.lit(0).cast("long"), F.col(other) - 1), lambda k: F.struct(*((k, own) if side else (own, k)), F.lit(side).alias("side")))
     kind = "array<struct<few_block:bigint,block:bigint,side:int>>"
-    dealt = F.concat(to(F.pmod(F.xxhash64("id"), F.col("blocks")), "few_blocks", 1).cast(kind), F.when(few, to(F.pmod(F.xxhash64("id"), F.col("few_blocks")), "blocks", 0).cast(kind)).otherwise(F.array().cast(kind)))
-    dealt = rows.select("region", "id", "n", "component", "signature", F.inline(dealt))
-    enough = least_equal(percent, DETAIL)
+    dealt = F.concat(to(F.pmod(number, F.col("blocks")), "few_blocks", 1).cast(kind), F.when(few, to(F.pmod(number, F.col("few_blocks")), "blocks", 0).cast(kind)).otherwise(F.array().cast(kind)))
+    dealt = rows.select("region", "id", "component", "text", F.inline(dealt))
 
     def run(group: pa.Table) -> pa.Table:
-        side, ids, sizes, component = (group.column(c).to_numpy() for c in ("side", "id", "n", "component"))
-        values = np.frombuffer(b"".join(group.column("signature").to_pylist()), ">u2").reshape(len(ids), DETAIL).astype(np.uint16)
+        side, ids, component = (group.column(c).to_numpy() for c in ("side", "id", "component"))
+        texts = group.column("text")
         all_of = np.flatnonzero(side == 1)
-        us, vs = [], []
+        sets = [shingle_set(texts[int(k)].as_py(), width) for k in all_of]
+        sizes = np.array([len(s) for s in sets])
+        flat = np.concatenate(sets) if sets else np.empty(0, U)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        links = []
         for x in np.flatnonzero(side == 0):
-            likely = all_of[(component[all_of] != component[x]) & (100 * np.minimum(sizes[all_of], sizes[x]) >= percent * np.maximum(sizes[all_of], sizes[x]))]
-            likely = likely[(values[likely] == values[x]).sum(axis=1) >= enough]
-            us += [ids[x]] * len(likely)
-            vs += ids[likely].tolist()
-        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+            own = shingle_set(texts[int(x)].as_py(), width)
+            if not len(own) or not len(flat):
+                continue
+            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            shared = np.bincount(owner[own[place] == flat], minlength=len(sets))
+            good = (100 * shared >= percent * (len(own) + sizes - shared)) & (component[all_of] != component[x])
+            # one link to each other component is enough
+            found, first = np.unique(component[all_of][good], return_index=True)
+            links += [(int(ids[x]), int(y)) for y in ids[all_of][good][first]]
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
-    found = dealt.groupBy("region", "few_block", "block").applyInArrow(run, "u long, v long")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return dealt.groupBy("region", "few_block", "block").applyInArrow(run, "u long, v long")
 
 
 def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
@@ -336,9 +337,7 @@ def components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     grouped = connected_components(confirm(first, texts, width, percent))
     left = _label(_label(candidates.select("u", "v").join(first, ["u", "v"], "left_anti"), "u", grouped, "cu"), "v", grouped, "cv").where("cu <> cv")
     grouped = _merged(grouped, confirm(materialize(left.select("u", "v"), "pairs"), texts, width, percent))
-    rest = materialize(_rest(classes, grouped, percent), "pairs")
-    texts = texts_of(docs, rest.select(F.explode(F.array("u", "v")).alias("id")))
-    grouped = _merged(grouped, confirm(rest, texts, width, percent))
+    grouped = _merged(grouped, materialize(_rest(docs, classes, grouped, width, percent), "pairs"))
 
     rows = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     rows = rows.join(classes.select("set_key", "id"), "set_key", "left")
