@@ -11,7 +11,7 @@ of its own, and neutral mentions are not taken for insults.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +70,7 @@ def word_features(word: str) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x) % FEATURES for x in names]
 
 
-def _rows(groups: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+def _rows(groups: Iterable[set[str]]) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of all groups of words, one after another, and how many each has."""
     known: dict[str, list[int]] = {}
     flat: list[int] = []
@@ -145,7 +145,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, swap_charge: float =
     if not len(texts) or labels.min() == labels.max():
         p = min(max(share, 1e-3), 1 - 1e-3)
         return Model(float(np.log(p / (1 - p))), np.empty(0, np.int64), np.empty(0))
-    flat, sizes = _rows([set(words(t)) for t in texts])
+    flat, sizes = _rows(set(words(t)) for t in texts)
     pairs = swapped_pairs(texts)
     sides, pair_sizes = _rows([side for pair in pairs for side in pair])
     # a feature of too few texts would only learn them by heart
