@@ -14,10 +14,11 @@
    components. So a dense group costs few comparisons.
 4. The bound on successors is made up for: in every region with more members
    than a document has successors, the documents outside the region's largest
-   component are compared with all its members of other components, full sets
-   against full sets, in blocks of bounded size, and only links come out.
-   Pairs that this skips are in one component already. A region of more than
-   ``REGION`` members counts at the greater depth ``DEEP``.
+   component meet all its members of other components in blocks of bounded
+   size: signatures first, then the full sets of rows with a likely partner,
+   and only links come out. Pairs that this skips are in one component
+   already. It holds for regions of any size, so that the work grows with the
+   square of a large region that doesn't fall into one component.
 5. Components of the links, by alternating stars.
 """
 
@@ -42,10 +43,12 @@ NEIGHBOURS = 8
 DENSE = 3
 #: How far below the threshold a signature's share of equal positions may lie, in standard deviations.
 SLACK = 4.5
-#: Members from which on a region is taken deeper in the last search, that depth, and the members in a block.
-REGION = 4096
-DEEP = 8
-BLOCK = 256
+#: In the last search: members in a block, shingles in a cell's side (one text at least), and columns that are multiplied at a time.
+BLOCK = 512
+CELL = 1 << 18
+COLUMNS = 4096
+#: What names a cell of the last search.
+CELLS = ("region", "few_block", "block", "few_part", "part")
 #: Bits of the filter that picks out the texts to be confirmed, at most (16 MB).
 FILTER_BITS = 1 << 27
 
@@ -263,47 +266,108 @@ def _label(frame: DataFrame, name: str, parts: DataFrame, out: str) -> DataFrame
     return frame.join(parts.select(F.col("id").alias(name), F.col("component_id").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``left`` with each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.float32)  # exact up to 2 ** 24
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(both):
+        return out
+    sides = []
+    for sets in (left, right):
+        flat = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        hit = np.flatnonzero(both[column] == flat)
+        hit = hit[np.argsort(column[hit], kind="stable")]
+        sides.append((len(sets), owner[hit], column[hit]))
+    for at in range(0, len(both), COLUMNS):
+        x, y = (np.zeros((count, COLUMNS), np.float32) for count, _, _ in sides)
+        for dense, (_, owner, column) in zip((x, y), sides, strict=True):
+            part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+            dense[owner[part], column[part] - at] = 1
+        out += x @ y.T
+    return out
+
+
+def _likely_cells(pairs: DataFrame, percent: int) -> DataFrame:
+    """Rows of each cell of two blocks that may be linked there, in parts of about ``CELL`` shingles.
+
+    A pair is looked at in the first of the trees in which it shares a prefix:
+    in that tree's region the forest took it already if the region is small.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        tree, main = (group.column(c)[0].as_py() for c in ("tree", "main"))
+        region, few_block, block = (group.column(c)[0].as_py() for c in ("region", "few_block", "block"))
+        side, ids, component, n = (group.column(c).to_numpy() for c in ("side", "id", "component", "n"))
+        values = np.frombuffer(b"".join(group.column("signature").to_pylist()), ">u2").astype(np.uint16).reshape(-1, POSITIONS)
+        order = np.argsort(n, kind="stable")
+        few, every = order[side[order] == 0], order[side[order] == 1]
+        ok = component[few][:, None] != component[every]
+        # two rows outside the main component meet in two cells
+        ok &= (component[every] == main) | (ids[few][:, None] < ids[every])
+        ok &= 100 * np.minimum(n[few][:, None], n[every]) >= percent * np.maximum(n[few][:, None], n[every])
+        same = lambda p: values[few, p][:, None] == values[every, p]
+        if ok.any():
+            equal = np.zeros(ok.shape, np.uint8)
+            for p in range(POSITIONS):
+                equal += same(p)
+            ok &= equal >= least_equal(percent)
+        for prefix in _ORDERS[:tree, :MIN_DEPTH]:
+            if not ok.any():
+                break
+            ok &= ~np.logical_and.reduce([same(p) for p in prefix])
+        rows, columns = ok.any(axis=1), ok.any(axis=0)
+        few, every, ok = few[rows], every[columns], ok[rows][:, columns]
+        few_part, part = np.cumsum(n[few]) // CELL, np.cumsum(n[every]) // CELL
+        out = []
+        for i in np.unique(few_part):
+            for j in np.unique(part):
+                cell = ok[np.ix_(few_part == i, part == j)]
+                out += [(int(i), int(j), 0, int(k)) for k in few[few_part == i][cell.any(axis=1)]]
+                out += [(int(i), int(j), 1, int(k)) for k in every[part == j][cell.any(axis=0)]]
+        i, j, sides, at = (np.array(c, np.int64) for c in (zip(*out, strict=True) if out else [[]] * 4))
+        fixed = [pa.array(np.full(len(at), x, np.int64)) for x in (region, few_block, block)]
+        return pa.table([*fixed, *(pa.array(c) for c in (i, j, sides, ids[at], component[at]))], names=[*CELLS, "side", "id", "component"])
+
+    return pairs.groupBy("region", "few_block", "block").applyInArrow(run, ", ".join(f"{c} long" for c in [*CELLS, "side", "id", "component"]))
+
+
 def _rest(docs: DataFrame, classes: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) between components that the bound on successors may have passed over."""
-    at = lambda depth: F.xxhash64("tree", F.substring("key", 1, 2 * depth))
-    rows = _forest(classes).select(at(MIN_DEPTH).alias("near"), at(DEEP).alias("deep"), "id")
-    sizes = rows.groupBy("near").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > NEIGHBOURS)
-    rows = rows.join(sizes, "near").select(F.when(F.col("k") > REGION, F.col("deep")).otherwise(F.col("near")).alias("region"), "id")
-    members = materialize(_label(rows, "id", parts, "component"), "regions")
+    rows = _forest(classes).select(F.xxhash64("tree", F.substring("key", 1, 2 * MIN_DEPTH)).alias("region"), "tree", "id")
+    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > NEIGHBOURS)
+    members = materialize(_label(rows.join(sizes.select("region"), "region"), "id", parts, "component"), "regions")
     shares = members.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"))
     regions = shares.groupBy("region").agg(F.max_by("component", F.struct("k", -F.col("component"))).alias("main"), F.sum("k").alias("members"), F.max("k").alias("largest")).where("members > largest")
     regions = regions.select("region", "main", F.ceil(F.col("members") / BLOCK).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / BLOCK).alias("few_blocks"))
-    mixed = materialize(members.join(regions, "region"), "regions")
-    rows = mixed.join(texts_of(docs, mixed.select("id").distinct()).withColumnRenamed("doc_id", "id"), "id")
+    mixed = materialize(members.join(regions, "region"), "regions").join(classes.select("id", "n", "signature"), "id")
     few = F.col("component") != F.col("main")
     number = F.xxhash64("id")
     to = lambda own, other, side: F.transform(F.sequence(F.lit(0).cast("long"), F.col(other) - 1), lambda k: F.struct(*((k, own) if side else (own, k)), F.lit(side).alias("side")))
     kind = "array<struct<few_block:bigint,block:bigint,side:int>>"
     dealt = F.concat(to(F.pmod(number, F.col("blocks")), "few_blocks", 1).cast(kind), F.when(few, to(F.pmod(number, F.col("few_blocks")), "blocks", 0).cast(kind)).otherwise(F.array().cast(kind)))
-    dealt = rows.select("region", "id", "component", "text", F.inline(dealt))
+    dealt = mixed.select("region", "tree", "main", "id", "component", "n", "signature", F.inline(dealt))
+    cells = materialize(_likely_cells(dealt, percent), "cells")
+    rows = cells.join(texts_of(docs, cells.select("id").distinct()).withColumnRenamed("doc_id", "id"), "id")
 
     def run(group: pa.Table) -> pa.Table:
         side, ids, component = (group.column(c).to_numpy() for c in ("side", "id", "component"))
-        texts = group.column("text")
-        all_of = np.flatnonzero(side == 1)
-        sets = [shingle_set(texts[int(k)].as_py(), width) for k in all_of]
+        sets = [shingle_set(text.as_py(), width) for text in group.column("text")]
         sizes = np.array([len(s) for s in sets])
-        flat = np.concatenate(sets) if sets else np.empty(0, U)
-        owner = np.repeat(np.arange(len(sets)), sizes)
+        few, every = np.flatnonzero((side == 0) & (sizes > 0)), np.flatnonzero((side == 1) & (sizes > 0))
         links = []
-        for x in np.flatnonzero(side == 0):
-            own = shingle_set(texts[int(x)].as_py(), width)
-            if not len(own) or not len(flat):
-                continue
-            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-            shared = np.bincount(owner[own[place] == flat], minlength=len(sets))
-            good = (100 * shared >= percent * (len(own) + sizes - shared)) & (component[all_of] != component[x])
-            # one link to each other component is enough
-            found, first = np.unique(component[all_of][good], return_index=True)
-            links += [(int(ids[x]), int(y)) for y in ids[all_of][good][first]]
+        if len(few) and len(every):
+            shared = _overlaps([sets[k] for k in few], [sets[k] for k in every]).astype(np.int64)
+            good = 100 * shared >= percent * (sizes[few][:, None] + sizes[every] - shared)
+            good &= component[few][:, None] != component[every]
+            for x in np.flatnonzero(good.any(axis=1)):
+                # one link to each other component is enough
+                _, first = np.unique(component[every][good[x]], return_index=True)
+                links += [(int(ids[few[x]]), int(y)) for y in ids[every][good[x]][first]]
         return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
-    return dealt.groupBy("region", "few_block", "block").applyInArrow(run, "u long, v long")
+    return rows.groupBy(*CELLS).applyInArrow(run, "u long, v long")
 
 
 def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:

@@ -128,6 +128,32 @@ def test_dense_region_needs_every_round(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
 
 
+def test_large_regions_are_searched_whole(spark, monkeypatch):
+    """Many rows of one template, each with one near copy; a size from which on regions are searched less must not matter."""
+    monkeypatch.setattr(near_dedup, "REGION", 16, raising=False)
+    base = [f"w{k}" for k in range(120)]
+    docs = {}
+    for k in range(250):
+        own = [f"own{k}x{j}" for j in range(15)] + base[15:]
+        copy = list(own)
+        for j in range(4):
+            copy[25 + 20 * j] = f"new{k}x{j}"
+        docs |= {2 * k: " ".join(own), 2 * k + 1: " ".join(copy)}
+    want = brute_components(docs, 3, 80)
+    assert all(want[k][1] == k - k % 2 for k in docs)
+    rows = near_dedup.near_duplicates(frame(spark, list(docs.items())), 3, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+
+
+def test_overlaps(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 90, n).astype(np.uint64)) for n in (5, 40, 1, 200, 0, 30)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]
+    for columns in (7, 4096):
+        monkeypatch.setattr(near_dedup, "COLUMNS", columns)
+        assert near_dedup._overlaps(sets, sets[2:]).tolist() == want
+
+
 def test_near_duplicates_edge_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (3, "A b c d e f"), (9, None), (9, None)]
     got = near_dedup.near_duplicates(frame(spark, rows)).collect()
@@ -227,7 +253,6 @@ def test_toxicity_held_out(spark):
 
 
 def test_counterfactual_charge():
-    rng = random.Random(6)
     texts, labels = [], []
     for _ in range(600):  # a group's name goes along with insults in the sample
         mark = rng.random() < 0.5
