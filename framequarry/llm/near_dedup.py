@@ -36,8 +36,9 @@ from framequarry.llm._shared import U, materialize, mix, odd_multipliers, shingl
 from framequarry.llm.components import connected_components
 
 POSITIONS = 48
-TREES = 12
 MIN_DEPTH = 3
+#: Each position leads one tree, so that the trees miss a pair independently.
+TREES = POSITIONS // MIN_DEPTH
 NEIGHBOURS = 8
 #: Of a full set of successors, those that are taken at first.
 DENSE = 3
@@ -53,7 +54,8 @@ CELLS = ("region", "few_block", "block", "few_part", "part")
 FILTER_BITS = 1 << 27
 
 _A = odd_multipliers(POSITIONS, 11)
-_ORDERS = np.stack([np.random.default_rng(1000 + t).permutation(POSITIONS) for t in range(TREES)])
+_LEADS = np.random.default_rng(1000).permutation(POSITIONS).reshape(TREES, MIN_DEPTH)
+_ORDERS = np.stack([np.append(lead, np.random.default_rng(1001 + t).permutation(np.setdiff1d(np.arange(POSITIONS), lead))) for t, lead in enumerate(_LEADS)])
 
 
 def signature(hashes: np.ndarray) -> bytes:

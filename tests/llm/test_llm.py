@@ -145,6 +145,16 @@ def test_large_regions_are_searched_whole(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
 
 
+def test_trees_lead_with_distinct_positions():
+    orders = near_dedup._ORDERS
+    assert all(sorted(o) == list(range(near_dedup.POSITIONS)) for o in orders.tolist())
+    leads = orders[:, : near_dedup.MIN_DEPTH]
+    assert len(set(leads.ravel().tolist())) == leads.size
+    equal = np.random.default_rng(5).random((200_000, near_dedup.POSITIONS)) < 0.8
+    missed = ~np.any([equal[:, lead].all(axis=1) for lead in leads], axis=0)
+    assert missed.sum() <= 10  # 1 in some 100,000 is expected
+
+
 def test_overlaps(monkeypatch):
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 90, n).astype(np.uint64)) for n in (5, 40, 1, 200, 0, 30)]
