@@ -3,7 +3,8 @@
 Texts are compared in a plain form: A-Z lower-cased, each run of ASCII
 characters other than letters and digits one space. Every benchmark item is
 cut into overlapping windows of ``WINDOW`` characters (bytes of the plain
-form), the last one flush with the item's end; a shorter item is one window.
+form), the last one flush with the item's end; a shorter item is one window. Items of fewer than
+``Q`` bytes in the plain form are not searched yet.
 A document holds an item if some stretch of it is within the window's edit
 budget of one of the item's windows.
 
