@@ -7,7 +7,8 @@ models, in all and a character, is high enough.
 
 Spans are in code points, the end exclusive. A match's place is found from the
 lengths of the pieces between matches, as ``split`` and ``regexp_extract_all``
-cut a text at the same places.
+cut a text at the same places. What lies before a match is added up from sums
+of blocks and of blocks of blocks, so the work is linear in a text's matches.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ RANDOM_KIND = "random"
 #: What the models look at, the least ratio in all, and the least ratio a character (natural logarithms).
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 LEAST_TOTAL = 20.0
-LEAST_EACH = 1.0
+LEAST_EACH = 0.6
 
 #: Characters that the models tell apart; all others are one more class.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-+/="
@@ -66,13 +67,16 @@ def labelled_samples(spark: SparkSession) -> DataFrame:
     random = []
     for k in range(len(plain)):
         digest = hashlib.sha256(b"sample %d" % k).digest()
-        size = (62, 62, 64, 36, 16)[k % 5]
-        letters = {62: ALPHABET[:62], 64: ALPHABET[:62] + "+/", 36: ALPHABET[26:62], 16: "0123456789abcdef"}[size]
-        random.append("".join(letters[x % size] for x in digest))
+        letters = (ALPHABET[:62], ALPHABET[:62], ALPHABET[:62] + "+/", ALPHABET[26:62], ALPHABET[:26] + ALPHABET[52:62], "0123456789abcdef")[k % 6]
+        random.append("".join(letters[x % len(letters)] for x in digest))
     lines = lambda x: spark.range(1).select(F.explode(F.split(F.lit("\n".join(x)), "\n")).alias("text"))
     return lines(plain).withColumn("is_random", F.lit(False)).unionByName(lines(random).withColumn("is_random", F.lit(True)))
 
 
+#: Entries of a list in a block when running sums are taken.
+BLOCK = 64
+
+
 def _code(char: Column, codes: Column) -> Column:
     return F.coalesce(F.get(codes, F.ascii(char)), F.lit(_CLASSES - 1))
 
@@ -97,17 +101,45 @@ def train(samples: DataFrame) -> list[float]:
     return out
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0), lambda total, x: total + F.length(x))
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda total, x: total + x)
 
 
-def _places(pieces: Column, matches: Column, wanted) -> Column:
-    """(start, end) of each match, from the pieces between matches; ``wanted(match, number)`` drops some afterwards."""
-    spans = F.transform(
-        matches,
-        lambda m, k: F.struct((_sum(F.slice(pieces, F.lit(1), k + 1)) + _sum(F.slice(matches, F.lit(1), k))).alias("start"), F.length(m).alias("size"), wanted(m, k).alias("wanted")),
-    )
-    return F.filter(spans, lambda s: s["wanted"])
+def _greatest(values: Column) -> Column:
+    return F.coalesce(F.array_max(values), F.lit(0))
+
+
+def _blocks(values: Column, fold) -> Column:
+    """What ``fold`` makes of each block of a list; nothing of an empty list."""
+    starts = F.sequence(F.lit(0), F.ceil(F.size(values) / BLOCK).cast("int"))
+    return F.transform(F.slice(starts, F.lit(1), F.size(starts) - 1), lambda k: fold(F.slice(values, k * BLOCK + 1, F.lit(BLOCK))))
+
+
+def _before(rows: DataFrame, values: str, out: str, fold, join) -> DataFrame:
+    """``rows`` with a list ``out``: ``fold`` of all entries of the list ``values`` before each; ``join`` puts two folds together."""
+    one, two, last = f"{out}_1", f"{out}_2", f"{out}_last"
+    rows = rows.withColumn(one, _blocks(F.col(values), fold))
+    rows = rows.withColumn(two, _blocks(F.col(one), fold))
+    rows = rows.withColumn(last, F.transform(two, lambda _, k: fold(F.slice(two, F.lit(1), k))))
+
+    def at(_, k):
+        block, large = F.floor(k / BLOCK).cast("int"), F.floor(k / BLOCK**2).cast("int")
+        own = fold(F.slice(values, block * BLOCK + 1, k - block * BLOCK))
+        # named twice, as the planner folds a list that is named once into the lambda and makes it anew for every entry
+        head = F.when(F.size(last) > 0, F.get(F.col(last), large))
+        return join(join(head, fold(F.slice(one, large * BLOCK + 1, block - large * BLOCK))), own)
+
+    return rows.withColumn(out, F.transform(values, at)).drop(one, two, last)
+
+
+def _places(rows: DataFrame, kind: str, wanted) -> DataFrame:
+    """``rows`` with spans_<kind>: (start, size) of each match, from the pieces between matches; ``wanted(match, group)`` drops some."""
+    pieces, matches, groups, steps, starts = (f"{x}_{kind}" for x in ("pieces", "matches", "groups", "steps", "starts"))
+    rows = rows.withColumn(steps, F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.length(p) + F.length(m)))
+    rows = _before(rows, steps, starts, _total, lambda x, y: x + y)
+    each = F.arrays_zip(F.col(starts).alias("start"), F.slice(pieces, F.lit(1), F.size(matches)).alias("piece"), F.col(matches).alias("match"), F.col(groups).alias("group"))
+    spans = F.transform(each, lambda z: F.struct((z["start"] + F.length(z["piece"])).alias("start"), F.length(z["match"]).alias("size"), wanted(z["match"], z["group"]).alias("wanted")))
+    return rows.withColumn(f"spans_{kind}", F.filter(spans, lambda s: s["wanted"])).drop(pieces, matches, groups, steps, starts)
 
 
 def _named(spans: Column, kind: str, order: int) -> Column:
@@ -119,8 +151,10 @@ def _joined(spans: Column) -> Column:
 
 
 def _ratio(token: Column, ratios: Column, codes: Column) -> Column:
-    pair = lambda k: _code(F.substring(token, k - 1, F.lit(1)), codes) * _CLASSES + _code(F.substring(token, k, F.lit(1)), codes)
-    return F.aggregate(F.sequence(F.lit(2), F.length(token)), F.lit(0.0), lambda total, k: total + F.get(ratios, pair(k)))
+    chars = F.transform(F.split(token, ""), lambda c: _code(c, codes))
+    size = F.length(token) - 1
+    each = F.zip_with(F.slice(chars, F.lit(1), size), F.slice(chars, F.lit(2), size), lambda a, b: F.get(ratios, a * _CLASSES + b))
+    return F.aggregate(each, F.lit(0.0), lambda total, x: total + x)
 
 
 def find_secrets(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,26 +175,36 @@ def find_secrets(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", t
         whole = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
         cut = cut.withColumn(f"pieces_{kind}", F.when(F.col(f"has_{kind}"), F.split("text", pattern, -1)).otherwise(none))
         cut = cut.withColumn(f"matches_{kind}", F.when(F.col(f"has_{kind}"), whole).otherwise(none))
-        if group:
-            cut = cut.withColumn(f"groups_{kind}", F.when(F.col(f"has_{kind}"), F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).otherwise(none))
+        cut = cut.withColumn(f"groups_{kind}", F.when(F.col(f"has_{kind}"), F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).otherwise(none) if group else F.col(f"matches_{kind}"))
     cut = cut.drop("text")
     for kind, _, group, least, order in every:
         if kind == RANDOM_KIND:
             ratio = lambda m: _ratio(m, table_of, codes)
-            wanted = lambda m, k, ratio=ratio: ratio(m) >= F.greatest(F.lit(LEAST_TOTAL), LEAST_EACH * F.length(m))
-        elif group:
-            wanted = lambda m, k, kind=kind, least=least: F.length(F.get(F.col(f"groups_{kind}"), k)) >= least
+            wanted = lambda m, g, ratio=ratio: ratio(m) >= F.greatest(F.lit(LEAST_TOTAL), LEAST_EACH * F.length(m))
         else:
-            wanted = lambda m, k, least=least: F.length(m) >= least
-        cut = cut.withColumn(f"spans_{kind}", _named(_places(F.col(f"pieces_{kind}"), F.col(f"matches_{kind}"), wanted), kind, order))
+            wanted = lambda m, g, least=least: F.length(g) >= least
+        cut = _places(cut, kind, wanted)
+        cut = cut.withColumn(f"spans_{kind}", _named(F.col(f"spans_{kind}"), kind, order))
     known = F.concat(*(F.col(f"spans_{kind}") for kind, *_ in FORMS))
-    cut = cut.withColumn("known", F.array_sort(known))
-    fresh = F.filter(F.col(f"spans_{RANDOM_KIND}"), lambda s: ~F.exists("known", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    cut = cut.withColumn("known", F.array_sort(known)).withColumn("every", F.array_sort(F.concat("known", f"spans_{RANDOM_KIND}")))
+    # of the known spans, one that starts before a random one overlaps it by its end; one that starts within it comes right after it
+    is_known = lambda s: s["kind_order"] < len(FORMS)
+    cut = _before(cut.withColumn("ends", F.transform("every", lambda s: F.when(is_known(s), s["end"]).otherwise(0))), "ends", "reach", _greatest, F.greatest)
+
+    def stays(z):
+        s, reach, after = z["span"], z["reach"], z["after"]
+        covered = (reach > s["start"]) | F.coalesce(is_known(after) & (after["start"] < s["end"]), F.lit(False))
+        return is_known(s) | ~covered
+
+    around = F.arrays_zip(F.col("every").alias("span"), F.col("reach").alias("reach"), F.slice("every", F.lit(2), F.size("every")).alias("after"))
+    spans = F.transform(F.filter(around, stays), lambda z: z["span"])
+    # never false, but no condition on a result may pass it: pushed down, it would repeat all the steps above many times over
+    own = lambda column: F.when(F.monotonically_increasing_id() >= 0, column)
     return cut.select(
         "doc_id",
-        *(F.size(f"spans_{kind}").cast("long").alias(f"n_{kind}") for kind, *_ in FORMS),
-        F.sha2(_joined(F.col("known")), 256).alias("base_sha256"),
-        _joined(F.array_sort(F.concat("known", fresh))).alias("spans"),
+        *(own(F.size(f"spans_{kind}").cast("long")).alias(f"n_{kind}") for kind, *_ in FORMS),
+        own(F.sha2(_joined(F.col("known")), 256)).alias("base_sha256"),
+        own(_joined(spans)).alias("spans"),
     )
 
 
