@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +15,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries after which a worker's word cache is emptied.
-CACHE_LIMIT = 400_000
+#: Entries after which a worker's word cache is emptied, and the longest word that it remembers: some 25 MB at most.
+CACHE_LIMIT = 200_000
+CACHE_WORD = 32
 
 U = np.uint64
 
@@ -25,28 +29,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset, as
-    in local tests, a temporary folder takes its place for the session.
+    It is the session's ``spark.checkpoint.dir``. Only where that is unset and
+    the master is local, as in tests, a temporary folder takes its place for
+    the session; on a cluster no folder of one machine would do.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="framequarry-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: The folder of the tables that are written only for the work at hand.
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes in here go when the block ends, but for lasting ones."""
+    path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(path)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the
     work of earlier stages.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = f"{_SCRATCH.get()}/{name}-{uuid.uuid4().hex}" if _SCRATCH.get() and not lasting else fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -70,9 +94,11 @@ class WordHashes(dict):
     """Word -> 64-bit hash, remembered within a worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_WORD:
+            if len(self) >= CACHE_LIMIT:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:

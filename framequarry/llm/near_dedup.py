@@ -12,18 +12,20 @@
 3. Candidates are confirmed on full sets in two rounds: each document with its
    two most similar candidates; then all candidates that still join different
    components. So a dense group costs few comparisons.
-4. The bound on successors is made up for: in every region with more members
-   than a document has successors, the documents outside the region's largest
-   component meet all its members of other components in blocks of bounded
-   size: signatures first, then the full sets of rows with a likely partner,
-   and only links come out. Pairs that this skips are in one component
-   already. It holds for regions of any size, so that the work grows with the
-   square of a large region that doesn't fall into one component.
+4. The bound on successors is made up for exactly: documents of a region (equal
+   leading positions in a tree) with more members than that, and of more than
+   one component, are joined on their rarest shingles. Linked sets share one of
+   their first ``n - ceil(n * percent / 100) + 1`` shingles in any common order;
+   here those that a sketch of counts finds rarest come first, so that shared
+   passages lead nowhere. A shingle's documents meet in blocks, those outside
+   its largest component with all, and only pairs whose remaining shingles can
+   still suffice come out. No signature is asked, so nothing is lost here.
 5. Components of the links, by alternating stars.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from framequarry.llm._shared import U, materialize, mix, odd_multipliers, shingle_set, slices, table
+from framequarry.llm._shared import U, materialize, mix, odd_multipliers, scratch, shingle_set, slices, table
 from framequarry.llm.components import connected_components
 
 POSITIONS = 48
@@ -44,12 +47,12 @@ NEIGHBOURS = 8
 DENSE = 3
 #: How far below the threshold a signature's share of equal positions may lie, in standard deviations.
 SLACK = 4.5
-#: In the last search: members in a block, shingles in a cell's side (one text at least), and columns that are multiplied at a time.
+#: In the search of dense regions: a shingle's documents in a block, salts of a join on shingles, bits of the sketch of counts (1 MB).
 BLOCK = 512
-CELL = 1 << 18
-COLUMNS = 4096
-#: What names a cell of the last search.
-CELLS = ("region", "few_block", "block", "few_part", "part")
+SALTS = 16
+SKETCH_BITS = 20
+#: Partners that a document's text is sent to its home for, at most; with more it has several homes.
+PARTNERS = 64
 #: Bits of the filter that picks out the texts to be confirmed, at most (16 MB).
 FILTER_BITS = 1 << 27
 
@@ -112,6 +115,25 @@ def _forest(classes: DataFrame) -> DataFrame:
     return classes.select("id", "n", "signature").mapInArrow(run, "tree int, key binary, id long, n long")
 
 
+def _region(tree: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """A number for each row's tree and leading positions."""
+    out = tree.astype(np.int64)
+    for p in range(MIN_DEPTH):
+        out = (out << 16) | keys[:, p]
+    return out
+
+
+def _dense(rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(regions, ids) of the sorted rows that lie among more than ``NEIGHBOURS`` rows of one region."""
+    region = _region(rows[0], rows[1])
+    hit = np.zeros(len(region) + NEIGHBOURS, np.int64)
+    start = np.flatnonzero(region[:-NEIGHBOURS] == region[NEIGHBOURS:])
+    for offset in range(NEIGHBOURS + 1):
+        hit[start + offset] = 1
+    at = np.flatnonzero(hit[: len(region)])
+    return region[at], rows[2][at]
+
+
 def _pairs(rows: tuple[np.ndarray, ...], allowed, percent: int):
     """Candidates among sorted rows (tree, keys, ids, sizes): (u, v, equal positions) with u the earlier row.
 
@@ -142,8 +164,8 @@ def _pairs(rows: tuple[np.ndarray, ...], allowed, percent: int):
         yield ids[first[good]], ids[second[good]], equal[good]
 
 
-def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidates (u, v, equal) of the sorted forest, each pair once.
+def _neighbours(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates (u, v, equal) of the sorted forest, each pair once, and the members (region, id) of its dense regions.
 
     Rows near a partition's ends are returned too, and their pairs across
     partitions found in a second step over those few rows.
@@ -178,6 +200,9 @@ def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
             fresh = np.arange(len(now[0])) >= held  # pairs within the kept rows were found before
             for u, v, equal in _pairs(now, lambda a, b, fresh=fresh: fresh[b], percent):
                 yield out(u, v, equal)
+            region, ids = _dense(now)
+            if len(ids):
+                yield out(ids, None, None, n=region)
             seen += batch.num_rows
             kept = tuple(x[-NEIGHBOURS:] for x in now)
         if seen > NEIGHBOURS:
@@ -187,7 +212,7 @@ def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
 
     schema = "u long, v long, equal int, tree int, key binary, n long, part int, place int"
     found = materialize(rows.mapInArrow(scan, schema), "forest")
-    ends = found.where("v is null").select("tree", "key", F.col("u").alias("id"), "n", "part", "place")
+    ends = found.where("part is not null").select("tree", "key", F.col("u").alias("id"), "n", "part", "place")
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [b for b in batches if b.num_rows]
@@ -196,65 +221,97 @@ def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
         batch = pa.Table.from_batches(blocks).combine_chunks().to_batches()[0]
         part = batch.column(4).to_numpy()
         for u, v, equal in _pairs(arrays(batch), lambda a, b: part[a] != part[b], percent):
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(equal, pa.int32())], names=["u", "v", "equal"])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(equal, pa.int32()), pa.nulls(len(u), pa.int64())], names=["u", "v", "equal", "n"])
+        region, ids = _dense(arrays(batch))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32()), pa.array(region, pa.int64())], names=["u", "v", "equal", "n"])
 
     # as many rows as 2 * NEIGHBOURS a partition, whatever the input's size
-    crossing = ends.repartition(1).sortWithinPartitions("part", "place").select("tree", "key", "id", "n", "part").mapInArrow(across, "u long, v long, equal int")
-    pairs = found.where("v is not null").select("u", "v", "equal").unionByName(crossing)
-    return pairs.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("equal").alias("equal"))
+    crossing = ends.repartition(1).sortWithinPartitions("part", "place").select("tree", "key", "id", "n", "part").mapInArrow(across, "u long, v long, equal int, n long")
+    both = found.where("part is null").select("u", "v", "equal", "n").unionByName(materialize(crossing, "crossing"))
+    pairs = both.where("v is not null").groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("equal").alias("equal"))
+    return pairs, both.where("v is null").select(F.col("n").alias("region"), F.col("u").alias("id")).distinct()
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) whose id is in ``ids`` (id), and perhaps a few others, as a table.
+def _marked(frame: DataFrame, column: str, wanted: DataFrame, mark: str) -> DataFrame:
+    """``frame`` with a column ``mark``: whether the long ``column`` is in the only column of ``wanted``; true for a few others, too.
 
-    A bit filter of at most ``FILTER_BITS`` stands for the ids: its size is
-    bounded whatever their number, and a wrong hit costs time only. So the
-    texts of documents without a candidate are never shuffled.
+    A bit filter of at most ``FILTER_BITS`` stands for the wanted values: its
+    size is bounded whatever their number, and a wrong hit costs time only. So
+    no row is shuffled for it, and no frequent value meets in one task.
     """
-    spark = docs.sparkSession
-    count = ids.agg(F.approx_count_distinct("id")).first()[0]
+    spark = frame.sparkSession
+    wanted = wanted.toDF("value").where("value is not null")
+    count = wanted.agg(F.approx_count_distinct("value")).first()[0]
     bits = min(FILTER_BITS, 1 << max(10, (16 * count).bit_length()))
-    bit = F.pmod(F.xxhash64("id"), F.lit(bits))
-    words = ids.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {bits}) & 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = wanted.select(F.shiftright(bit("value"), 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(value), {bits}) & 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
     array = np.zeros(bits // 64, np.int64)
-    for row in words.toLocalIterator():
-        array[row.word] = row.mask
+    found = words.toArrow()  # FILTER_BITS / 64 rows at most
+    array[found.column("word").to_numpy()] = found.column("mask").to_numpy()
     sent = spark.sparkContext.broadcast(array)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = sent.value
         for batch in batches:
-            bit = batch.column(2).to_numpy()
+            bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             hit = (mask[bit >> 6] >> (bit & 63)) & 1 == 1
-            yield batch.filter(pa.array(hit)).select(["doc_id", "text"])
+            yield batch.set_column(batch.num_columns - 1, mark, pa.array(hit, pa.bool_()))
+
+    keyed = frame.select("*", F.when(F.col(column).isNotNull(), bit(F.col(column).cast("long"))).otherwise(0).alias(mark))
+    schema = StructType([*frame.schema.fields, StructField(mark, BooleanType())])
+    return keyed.mapInArrow(run, schema)
 
-    keyed = docs.where("doc_id is not null").withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(bits)))
-    return materialize(keyed.mapInArrow(run, "doc_id long, text string"), "texts")
+
+def _picked(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``frame`` that ``_marked`` marks."""
+    return _marked(frame.where(F.col(column).isNotNull()), column, wanted, "picked").where("picked").drop("picked")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v) whose full sets are linked.
 
-    Partners meet at u: its text is sent there once and each partner's text
-    once. Pairs come in with a bounded number of partners a document.
+    Partners meet at a home of u: its text is sent there once and the texts of
+    up to ``PARTNERS`` partners. A document with more partners has several
+    homes, in several tasks.
     """
-    pairs = pairs.select("u", "v")
-    wanted = pairs.select(F.col("u").alias("home"), F.col("v").alias("doc_id")).unionByName(pairs.select(F.col("u").alias("home"), F.col("u").alias("doc_id")).distinct())
-    rows = docs.join(wanted, "doc_id").select("home", "doc_id", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, "home").sortWithinPartitions(F.asc("home"), F.asc(F.col("home") != F.col("doc_id")), F.asc("doc_id"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        last, held = None, 0  # the last row's u, and how many rows of it were seen
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            u, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            starts = np.flatnonzero(np.append(True, u[1:] != u[:-1]))
+            sizes = np.diff(np.append(starts, len(u)))
+            place = np.arange(len(u)) - np.repeat(starts, sizes)
+            if u[0] == last:
+                place[: sizes[0]] += held
+            last, held = u[-1], place[-1] + 1
+            home = mix(mix(u.astype(U)) + U(part << 32) + (place // PARTNERS).astype(U)).astype(np.int64)
+            own = np.flatnonzero(place % PARTNERS == 0)
+            columns = (np.concatenate([home, home[own]]), np.concatenate([u, u[own]]), np.concatenate([v, u[own]]))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["home", "u", "doc_id"])
+
+    wanted = pairs.select("u", "v").repartitionByRange(parts, "u", "v").sortWithinPartitions("u", "v").mapInArrow(deal, "home long, u long, doc_id long")
+    wanted = materialize(wanted, "homes")
+    rows = _picked(docs, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("home", "u", "doc_id", "text")
+    rows = rows.repartition(parts, "home").sortWithinPartitions(F.asc("home"), F.asc("u"), F.asc(F.col("u") != F.col("doc_id")), F.asc("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home, own, out = None, [], []
         for batch in slices(batches):
-            for at, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != home:
-                    home, own = at, []
+            for at, u, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (at, u) != home:
+                    home, own = (at, u), []
                 hashes = shingle_set(text, width)
-                if doc == at:
+                if doc == u:
                     own.append(hashes)
                 elif any(linked(x, hashes, percent) for x in own):
-                    out.append((at, doc))
+                    out.append((u, doc))
             if out:
                 u, v = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
@@ -268,108 +325,83 @@ def _label(frame: DataFrame, name: str, parts: DataFrame, out: str) -> DataFrame
     return frame.join(parts.select(F.col("id").alias(name), F.col("component_id").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
 
 
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of each set of ``left`` with each of ``right``."""
-    out = np.zeros((len(left), len(right)), np.float32)  # exact up to 2 ** 24
-    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
-    if not len(both):
-        return out
-    sides = []
-    for sets in (left, right):
-        flat = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        column = np.minimum(np.searchsorted(both, flat), len(both) - 1)
-        hit = np.flatnonzero(both[column] == flat)
-        hit = hit[np.argsort(column[hit], kind="stable")]
-        sides.append((len(sets), owner[hit], column[hit]))
-    for at in range(0, len(both), COLUMNS):
-        x, y = (np.zeros((count, COLUMNS), np.float32) for count, _, _ in sides)
-        for dense, (_, owner, column) in zip((x, y), sides, strict=True):
-            part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
-            dense[owner[part], column[part] - at] = 1
-        out += x @ y.T
+def _rarity(texts: DataFrame, width: int) -> np.ndarray:
+    """Levels of how often shingles occur in ``texts``, by the leading bits of their hashes: 1 byte each, whatever the input.
+
+    The levels only order the shingles; any levels give the same links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                np.add.at(counts, (shingle_set(text, width) >> U(64 - SKETCH_BITS)).astype(np.int64), 1)
+        at = np.flatnonzero(counts)
+        for k in range(0, len(at), 1 << 16):
+            part = at[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], names=["bucket", "count"])
+
+    # 2 ** SKETCH_BITS rows at most
+    found = texts.select("text").mapInArrow(run, "bucket long, count long").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    out[found.column("bucket").to_numpy()] = (4 * np.log2(found.column("count").to_numpy())).astype(np.uint8)
     return out
 
 
-def _likely_cells(pairs: DataFrame, percent: int) -> DataFrame:
-    """Rows of each cell of two blocks that may be linked there, in parts of about ``CELL`` shingles.
+def rarest(hashes: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """The leading shingles of a set, rarest first: any set linked with it shares one of them with its own."""
+    n = len(hashes)
+    order = np.lexsort((hashes, levels[(hashes >> U(64 - SKETCH_BITS)).astype(np.int64)]))
+    return hashes[order[: n - (percent * n + 99) // 100 + 1]] if n else hashes
 
-    A pair is looked at in the first of the trees in which it shares a prefix:
-    in that tree's region the forest took it already if the region is small.
-    """
 
-    def run(group: pa.Table) -> pa.Table:
-        tree, main = (group.column(c)[0].as_py() for c in ("tree", "main"))
-        region, few_block, block = (group.column(c)[0].as_py() for c in ("region", "few_block", "block"))
-        side, ids, component, n = (group.column(c).to_numpy() for c in ("side", "id", "component", "n"))
-        values = np.frombuffer(b"".join(group.column("signature").to_pylist()), ">u2").astype(np.uint16).reshape(-1, POSITIONS)
-        order = np.argsort(n, kind="stable")
-        few, every = order[side[order] == 0], order[side[order] == 1]
-        ok = component[few][:, None] != component[every]
-        # two rows outside the main component meet in two cells
-        ok &= (component[every] == main) | (ids[few][:, None] < ids[every])
-        ok &= 100 * np.minimum(n[few][:, None], n[every]) >= percent * np.maximum(n[few][:, None], n[every])
-        same = lambda p: values[few, p][:, None] == values[every, p]
-        if ok.any():
-            equal = np.zeros(ok.shape, np.uint8)
-            for p in range(POSITIONS):
-                equal += same(p)
-            ok &= equal >= least_equal(percent)
-        for prefix in _ORDERS[:tree, :MIN_DEPTH]:
-            if not ok.any():
-                break
-            ok &= ~np.logical_and.reduce([same(p) for p in prefix])
-        rows, columns = ok.any(axis=1), ok.any(axis=0)
-        few, every, ok = few[rows], every[columns], ok[rows][:, columns]
-        few_part, part = np.cumsum(n[few]) // CELL, np.cumsum(n[every]) // CELL
-        out = []
-        for i in np.unique(few_part):
-            for j in np.unique(part):
-                cell = ok[np.ix_(few_part == i, part == j)]
-                out += [(int(i), int(j), 0, int(k)) for k in few[few_part == i][cell.any(axis=1)]]
-                out += [(int(i), int(j), 1, int(k)) for k in every[part == j][cell.any(axis=0)]]
-        i, j, sides, at = (np.array(c, np.int64) for c in (zip(*out, strict=True) if out else [[]] * 4))
-        fixed = [pa.array(np.full(len(at), x, np.int64)) for x in (region, few_block, block)]
-        return pa.table([*fixed, *(pa.array(c) for c in (i, j, sides, ids[at], component[at]))], names=[*CELLS, "side", "id", "component"])
-
-    return pairs.groupBy("region", "few_block", "block").applyInArrow(run, ", ".join(f"{c} long" for c in [*CELLS, "side", "id", "component"]))
-
-
-def _rest(docs: DataFrame, classes: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (u, v) between components that the bound on successors may have passed over."""
-    rows = _forest(classes).select(F.xxhash64("tree", F.substring("key", 1, 2 * MIN_DEPTH)).alias("region"), "tree", "id")
-    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > NEIGHBOURS)
-    members = materialize(_label(rows.join(sizes.select("region"), "region"), "id", parts, "component"), "regions")
-    shares = members.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"))
-    regions = shares.groupBy("region").agg(F.max_by("component", F.struct("k", -F.col("component"))).alias("main"), F.sum("k").alias("members"), F.max("k").alias("largest")).where("members > largest")
-    regions = regions.select("region", "main", F.ceil(F.col("members") / BLOCK).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / BLOCK).alias("few_blocks"))
-    mixed = materialize(members.join(regions, "region"), "regions").join(classes.select("id", "n", "signature"), "id")
-    few = F.col("component") != F.col("main")
-    number = F.xxhash64("id")
-    to = lambda own, other, side: F.transform(F.sequence(F.lit(0).cast("long"), F.col(other) - 1), lambda k: F.struct(*((k, own) if side else (own, k)), F.lit(side).alias("side")))
-    kind = "array<struct<few_block:bigint,block:bigint,side:int>>"
-    dealt = F.concat(to(F.pmod(number, F.col("blocks")), "few_blocks", 1).cast(kind), F.when(few, to(F.pmod(number, F.col("few_blocks")), "blocks", 0).cast(kind)).otherwise(F.array().cast(kind)))
-    dealt = mixed.select("region", "tree", "main", "id", "component", "n", "signature", F.inline(dealt))
-    cells = materialize(_likely_cells(dealt, percent), "cells")
-    rows = cells.join(texts_of(docs, cells.select("id").distinct()).withColumnRenamed("doc_id", "id"), "id")
-
-    def run(group: pa.Table) -> pa.Table:
-        side, ids, component = (group.column(c).to_numpy() for c in ("side", "id", "component"))
-        sets = [shingle_set(text.as_py(), width) for text in group.column("text")]
-        sizes = np.array([len(s) for s in sets])
-        few, every = np.flatnonzero((side == 0) & (sizes > 0)), np.flatnonzero((side == 1) & (sizes > 0))
-        links = []
-        if len(few) and len(every):
-            shared = _overlaps([sets[k] for k in few], [sets[k] for k in every]).astype(np.int64)
-            good = 100 * shared >= percent * (sizes[few][:, None] + sizes[every] - shared)
-            good &= component[few][:, None] != component[every]
-            for x in np.flatnonzero(good.any(axis=1)):
-                # one link to each other component is enough
-                _, first = np.unique(component[every][good[x]], return_index=True)
-                links += [(int(ids[few[x]]), int(y)) for y in ids[every][good[x]][first]]
-        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
-
-    return rows.groupBy(*CELLS).applyInArrow(run, "u long, v long")
+def _dense_pairs(dense: DataFrame, texts: DataFrame, classes: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components, both in a dense region (region, id), that may be linked by their rarest shingles."""
+    members = materialize(_label(dense, "id", parts, "component"), "regions")
+    mixed = members.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    inside = _picked(members, "region", mixed.select("region")).select("id", "component").distinct()
+    inside = materialize(inside.join(classes.select("id", "n").groupBy("id").agg(F.max("n").alias("n")), "id"), "dense")
+    texts = materialize(_picked(texts, "doc_id", inside.select("id")).join(inside.withColumnRenamed("id", "doc_id"), "doc_id"), "texts")
+    levels = texts.sparkSession.sparkContext.broadcast(_rarity(texts, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, rows=64):
+            for doc, component, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hashes = shingle_set(text, width)
+                first = rarest(hashes, levels.value, percent)
+                size = len(first)
+                columns = (pa.array(first.astype(np.int64)), pa.array(np.arange(size)), *(pa.array(np.full(size, x, np.int64)) for x in (len(hashes), doc, component)))
+                yield pa.RecordBatch.from_arrays(list(columns), names=["token", "place", "n", "id", "component"])
+
+    tokens = materialize(texts.select("doc_id", "component", "text").mapInArrow(run, "token long, place long, n long, id long, component long"), "tokens")
+    levels.unpersist()
+    shares = tokens.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
+    stats = shares.groupBy("token").agg(F.max_by("component", F.struct("k", -F.col("component"))).alias("main"), F.sum("k").alias("k"), F.max("k").alias("largest")).where("k > largest")
+    stats = materialize(stats.select("token", "main", F.ceil(F.col("k") / BLOCK).alias("blocks"), F.ceil((F.col("k") - F.col("largest")) / BLOCK).alias("few_blocks")), "stats")
+    tokens = _picked(tokens, "token", stats.select("token"))
+    # a frequent shingle's rows are joined to its figures in SALTS parts
+    stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    tokens = materialize(tokens.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(stats, ["token", "salt"]), "tokens")
+    number = F.xxhash64(F.lit(1), "id")
+    cells = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    few = tokens.where("component <> main").withColumn("few_block", F.pmod(number, F.col("few_blocks"))).withColumn("block", cells("blocks"))
+    every = tokens.withColumn("block", F.pmod(number, F.col("blocks"))).withColumn("few_block", cells("few_blocks"))
+    few = few.select("token", "few_block", "block", "main", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"), (F.col("n") - F.col("place")).alias("ru"))
+    every = every.select("token", "few_block", "block", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"), (F.col("n") - F.col("place")).alias("rv"))
+    met = few.join(every, ["token", "few_block", "block"])
+    # two documents outside the main component meet twice; what follows the shared shingle must suffice
+    met = met.where("cu <> cv and (cv = main or u < v)").where(f"100 * least(nu, nv) >= {percent} * greatest(nu, nv) and 100 * least(ru, rv) >= {percent} * (nu + nv - least(ru, rv))")
+    return met.groupBy("u", "v").agg(F.first("cv").alias("cv"), F.count(F.lit(1)).alias("k"))
+
+
+def _rest(dense: DataFrame, texts: DataFrame, classes: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``parts`` after the links that the bound on successors may have passed over."""
+    pairs = materialize(_dense_pairs(dense, texts, classes, parts, width, percent), "pairs")
+    # a document's likeliest partner in each other component first, then what still lies between components
+    first = pairs.groupBy("u", "cv").agg(F.max_by("v", F.struct("k", "v")).alias("v")).select("u", "v")
+    parts = _merged(parts, materialize(confirm(first, texts, width, percent), "pairs"))
+    left = _label(_label(pairs.select("u", "v"), "u", parts, "cu"), "v", parts, "cv").where("cu <> cv").select("u", "v").join(first, ["u", "v"], "left_anti")
+    return _merged(parts, materialize(confirm(left, texts, width, percent), "pairs"))
 
 
 def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
@@ -389,21 +421,27 @@ def components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     gets none and links nothing. Texts that are null or without words have no
     shingles and stand alone.
     """
+    with scratch(docs.sparkSession):
+        return materialize(_components(docs, width, percent), "components", lasting=True)
+
+
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     signed = materialize(sign(docs, width), "signatures")
     live = signed.where("doc_id is not null and set_key is not null")
     classes = materialize(live.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "classes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     forest = _forest(classes).repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-    candidates = materialize(_neighbours(forest, percent), "candidates")
+    candidates, dense = _neighbours(forest, percent)
+    candidates, dense = materialize(candidates, "candidates"), materialize(dense, "dense")
 
     either = candidates.select("u", "v", "equal", F.col("u").alias("at")).unionByName(candidates.select("u", "v", "equal", F.col("v").alias("at")))
     best = Window.partitionBy("at").orderBy(F.desc("equal"), "u", "v")
     first = materialize(either.withColumn("k", F.row_number().over(best)).where("k <= 2").select("u", "v").distinct(), "pairs")
-    texts = texts_of(docs, candidates.select(F.explode(F.array("u", "v")).alias("id")))
+    texts = materialize(_picked(docs, "doc_id", candidates.select(F.explode(F.array("u", "v"))).unionByName(dense.select(F.col("id").alias("col")))), "texts")
     grouped = connected_components(confirm(first, texts, width, percent))
     left = _label(_label(candidates.select("u", "v").join(first, ["u", "v"], "left_anti"), "u", grouped, "cu"), "v", grouped, "cv").where("cu <> cv")
     grouped = _merged(grouped, confirm(materialize(left.select("u", "v"), "pairs"), texts, width, percent))
-    grouped = _merged(grouped, materialize(_rest(docs, classes, grouped, width, percent), "pairs"))
+    grouped = _rest(dense, texts, classes, grouped, width, percent)
 
     rows = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     rows = rows.join(classes.select("set_key", "id"), "set_key", "left")
@@ -431,10 +469,14 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_
     """
     found = materialize(near_duplicates(docs, width, percent, id_col, text_col), "near-duplicates")
     key = F.col(id_col).cast("long")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id"))
-    single = docs.join(gone.unionByName(repeated), key == F.col("__id"), "left_anti")
-    return single.unionByName(docs.join(repeated, key == F.col("__id"), "left_semi").dropDuplicates([id_col]))
+    name = f"id_{uuid.uuid4().hex}"  # no column of ``docs``
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name))
+    # rows that surely stay aren't shuffled
+    marked = _marked(docs, id_col, gone.unionByName(repeated), f"{name}_mark")
+    stay, asked = (marked.where(c).drop(f"{name}_mark") for c in (~F.col(f"{name}_mark"), F.col(f"{name}_mark")))
+    single = asked.join(gone.unionByName(repeated), key == F.col(name), "left_anti")
+    return stay.unionByName(single).unionByName(_picked(asked, id_col, repeated).join(repeated, key == F.col(name), "left_semi").dropDuplicates([id_col]))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,9 +128,8 @@ def test_dense_region_needs_every_round(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
 
 
-def test_large_regions_are_searched_whole(spark, monkeypatch):
-    """Many rows of one template, each with one near copy; a size from which on regions are searched less must not matter."""
-    monkeypatch.setattr(near_dedup, "REGION", 16, raising=False)
+def test_large_regions_are_searched_whole(spark):
+    """Many rows of one template, each with one near copy."""
     base = [f"w{k}" for k in range(120)]
     docs = {}
     for k in range(250):
@@ -155,13 +154,48 @@ def test_trees_lead_with_distinct_positions():
     assert missed.sum() <= 10  # 1 in some 100,000 is expected
 
 
-def test_overlaps(monkeypatch):
+def test_linked_sets_share_a_rare_shingle():
     rng = np.random.default_rng(3)
-    sets = [np.unique(rng.integers(0, 90, n).astype(np.uint64)) for n in (5, 40, 1, 200, 0, 30)]
-    want = [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]
-    for columns in (7, 4096):
-        monkeypatch.setattr(near_dedup, "COLUMNS", columns)
-        assert near_dedup._overlaps(sets, sets[2:]).tolist() == want
+    levels = rng.integers(0, 5, 1 << near_dedup.SKETCH_BITS).astype(np.uint8)
+    met = 0
+    for _ in range(3000):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 60)).astype(np.uint64))
+        b = np.unique(np.append(a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 63, rng.integers(0, 5)).astype(np.uint64)))
+        for percent in (80, 85, 100):
+            if near_dedup.linked(a, b, percent):
+                met += 1
+                assert np.intersect1d(near_dedup.rarest(a, levels, percent), near_dedup.rarest(b, levels, percent)).size
+    assert met > 500 and not len(near_dedup.rarest(np.empty(0, np.uint64), levels, 80))
+
+
+@pytest.mark.parametrize("block,partners", [(7, 3), (512, 64)])
+def test_dense_regions_in_blocks(spark, monkeypatch, block, partners):
+    """One dense region, far above the size of a block, of many components: as brute force finds them."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "PARTNERS", partners)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+    docs = {}
+    for k in range(300):
+        new = list(docs[rng.randrange(k)].split()) if k > 100 and rng.random() < 0.5 else list(base)
+        for _ in range(rng.randint(1, 7)):
+            new[rng.randrange(120)] = f"x{rng.randrange(400)}"
+        docs[k] = " ".join(new)
+    want = brute_components(docs, 3, 85)
+    rows = near_dedup.near_duplicates(frame(spark, list(docs.items())), 3, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+    assert 20 < len({c for _, c in want.values()}) < 280
+
+
+def test_near_duplicates_long_text_and_clashing_columns(spark):
+    """Texts of 150,000 words, columns named as the operator's own."""
+    words = [f"w{k}" for k in range(150_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:75_000] + ["new"] + words[75_000:])), (3, "w1 w2 w3"), (4, "z" * 300_000), (5, "z" * 300_000 + " ")]
+    given = frame(spark, rows).withColumns({c: F.lit("y") for c in ("region", "bit", "filter_bit", "__id", "set_key", "token", "component")})
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(given).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+    kept = near_dedup.drop_near_duplicates(given)
+    assert kept.columns == given.columns and sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 3, 4]
 
 
 def test_near_duplicates_edge_rows(spark):
@@ -390,6 +424,42 @@ def test_secrets(spark):
     assert secret_scan.find_secrets(frame(spark, []), ratios).count() == 0
 
 
+def test_secrets_many_matches_and_long_runs(spark):
+    """100,000 matches in one text, 20,000 random strings between known forms, and a run of 200,000 characters."""
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    mixed = "".join(f"token=abcdef{k % 10} " + "".join(rng.choice(letters) for _ in range(30)) + rng.choice([" ", "\u00e9 "]) for k in range(20_000))
+    texts = {1: "token=abcdef1 " * 100_000, 2: mixed, 3: "".join(rng.choice(letters) for _ in range(200_000))}
+    ratios = secret_scan.train(secret_scan.labelled_samples(spark))
+    for r in secret_scan.find_secrets(frame(spark, list(texts.items())), ratios).collect():
+        text = texts[r.doc_id]
+        known = sorted((m.start(), k, m.end(), n) for k, (n, p, good) in enumerate(SECRETS) for m in re.finditer(p, text) if good(m))
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{n}:{s}:{e}" for s, _, e, n in known).encode()).hexdigest()
+        codes = lambda t: [secret_scan._CODES[ord(c)] for c in t]
+        score = lambda t: sum(ratios[a * secret_scan._CLASSES + b] for a, b in zip(codes(t), codes(t)[1:]))
+        taken = np.zeros(len(text) + 1, bool)
+        for s, _, e, _ in known:
+            taken[s:e] = True
+        fresh = [(m.start(), len(SECRETS), m.end(), "random") for m in re.finditer(secret_scan.CANDIDATE, text) if not taken[m.start() : m.end()].any() and score(m[0]) >= max(secret_scan.LEAST_TOTAL, secret_scan.LEAST_EACH * len(m[0]))]
+        assert len(fresh) > (15_000 if r.doc_id == 2 else 0) or r.doc_id == 1
+        assert r.spans == ",".join(f"{n}:{s}:{e}" for s, _, e, n in sorted(known + fresh))
+
+
+def test_secret_models_on_strings_they_were_not_trained_on(spark):
+    """Identifiers of other words and strings from another source; the README names these figures."""
+    rng = random.Random(14)
+    other = "runway taxi fuel crane bridge ladder winter garden copper silver orange violet harbor market corner station museum theater kitchen bedroom blanket pillow candle mirror carpet curtain bottle basket pocket jacket".split()
+    plain = [rng.choice(["_", "-", "/", ""]).join(x if k % 3 else x.title() for x in rng.choices(other, k=rng.randint(3, 5))) for k in range(1500)]
+    plain = [x for x in plain if len(x) >= 20]
+    sets = ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"]
+    secrets = ["".join(rng.choice(sets[k % 4]) for _ in range(rng.randint(24, 48))) for k in range(len(plain))]
+    ratios = secret_scan.train(secret_scan.labelled_samples(spark))
+    found = {r.doc_id for r in secret_scan.find_secrets(frame(spark, list(enumerate(plain + secrets))), ratios).where("spans <> ''").select("doc_id").collect()}
+    false, true = sum(k < len(plain) for k in found), sum(k >= len(plain) for k in found)
+    print("secrets: recall", true / len(secrets), "precision", true / max(1, true + false))
+    assert true / len(secrets) >= 0.9 and true / (true + false) >= 0.98
+
+
 def test_secrets_stay_out_of_python(spark):
     plan = secret_scan.find_secrets(frame(spark, [(1, "x")], extra=False), [0.0] * len(secret_scan.ALPHABET + "?") ** 2)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
