@@ -7,17 +7,19 @@ and so on, until a filter takes nothing wrongly. A key is listed if the first
 filter that doesn't take it stands at an even place. The universe is complete:
 every host of the corpus and every parent domain of it.
 
-Filters are arrays of 64-bit words that are built by aggregation and travel
-inside the plan as one-row subqueries' values. Their size follows the list,
-not the corpus, and is checked against ``MAX_FILTER_BYTES``; a larger list
-goes through a join on the key instead.
+Only the last labels of a host, as many as a listed domain has at most, can be
+listed, so a host has a bounded number of keys however many labels it has.
+
+Filters are arrays of 64-bit words that are built by aggregation, written as
+one-row tables and read by scalar subqueries. Their size follows the list, not
+the corpus; it is checked against ``MAX_FILTER_BYTES``, room for some 13
+million listed domains, and a larger list is refused.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,11 @@ BLOCKED = tuple(f"{name}.example.{top}" for name in ("ads-track", "casino-win",
 
 BITS_PER_KEY = 10
 HASHES = 4
-MAX_FILTER_BYTES = 256 << 10
+MAX_FILTER_BYTES = 16 << 20
+#: Labels that a domain name can have.
+MAX_LABELS = 127
+#: Words of a filter that are gathered at a time.
+WORDS = 1024
 MAX_LEVELS = 40
 
 
@@ -60,11 +66,14 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) ->
     return out
 
 
-def domains(host: Column) -> Column:
-    """A host and all its parent domains; none for an empty host."""
-    labels = F.split(host, r"\.", -1)
-    every = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    return F.filter(every, lambda d: d != "")
+def labels(host: Column) -> Column:
+    """How many labels a host has."""
+    return F.length(host) - F.length(F.translate(host, ".", "")) + 1
+
+
+def domains(host: Column, depth: int) -> list[Column]:
+    """A host's last 1, 2, ..., ``depth`` labels; the whole host where it has no more."""
+    return [F.substring_index(host, ".", -k) for k in range(1, depth + 1)]
 
 
 def _bit(key: Column, level: int, k: int, bits: int) -> Column:
@@ -74,14 +83,11 @@ def _bit(key: Column, level: int, k: int, bits: int) -> Column:
 def _filter(keys: DataFrame, level: int, bits: int) -> DataFrame:
     """One row ``words``: the filter of ``keys`` (key) as an array of 64-bit words."""
     bit = F.explode(F.array(*(_bit(F.col("key"), level, k, bits) for k in range(HASHES))))
-    words = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
-    sparse = words.agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("m"))
-    return sparse.select(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bits // 64 - 1).cast("long")), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("long"))).alias("words"))
-
-
-def _words(words: list[int]) -> Column:
-    """A filter's words as one literal."""
-    return F.lit(np.array(words, np.int64))
+    words = keys.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("mask"))
+    words = words.unionByName(keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    gather = lambda name, value: F.transform(F.array_sort(F.collect_list(F.struct(name, value))), lambda x: x[value])
+    parts = words.groupBy(F.floor(F.col("word") / WORDS).alias("part")).agg(gather("word", "mask").alias("words"))
+    return parts.agg(F.flatten(gather("part", "words")).alias("words"))
 
 
 def _takes(words: Column, key: Column, level: int, bits: int) -> Column:
@@ -95,9 +101,9 @@ def _takes(words: Column, key: Column, level: int, bits: int) -> Column:
 
 
 class Cascade:
-    """Filters of a cascade: (words as a list of integers, bits) by level."""
+    """Filters of a cascade: (one-row table of words, bits) by level."""
 
-    def __init__(self, levels: list[tuple[list[int], int]]):
+    def __init__(self, levels: list[tuple[DataFrame, int]]):
         self.levels = levels
 
     def listed(self, key: Column) -> Column:
@@ -105,13 +111,13 @@ class Cascade:
         out = F.lit(len(self.levels) % 2 == 1)
         for level in range(len(self.levels), 0, -1):
             words, bits = self.levels[level - 1]
-            out = F.when(~_takes(_words(words), key, level, bits), F.lit(level % 2 == 0)).otherwise(out)
+            out = F.when(~_takes(words.scalar(), key, level, bits), F.lit(level % 2 == 0)).otherwise(out)
         return out
 
 
-def build(universe: DataFrame) -> Cascade | None:
-    """The cascade of ``universe`` (key, listed), each key once; None where its filters would be too large."""
-    levels: list[tuple[list[int], int]] = []
+def build(universe: DataFrame) -> Cascade:
+    """The cascade of ``universe`` (key, listed), each key once; ValueError where its filters would be too large."""
+    levels: list[tuple[DataFrame, int]] = []
     inside = universe.where("listed").select("key")
     outside = universe.where("not listed").select("key")
     while True:
@@ -122,11 +128,11 @@ def build(universe: DataFrame) -> Cascade | None:
             raise RuntimeError("the cascade doesn't end")
         bits = 64 * math.ceil(count * BITS_PER_KEY / 64)
         if bits // 8 + sum(b // 8 for _, b in levels) > MAX_FILTER_BYTES:
-            return None
+            raise ValueError(f"the list's filters need more than {MAX_FILTER_BYTES} bytes")
         level = len(levels) + 1
-        words = list(_filter(inside, level, bits).first().words)
+        words = materialize(_filter(inside, level, bits), "filter")
         levels.append((words, bits))
-        wrong = materialize(outside.where(_takes(_words(words), F.col("key"), level, bits)), "cascade")
+        wrong = materialize(outside.where(_takes(words.scalar(), F.col("key"), level, bits)), "cascade")
         inside, outside = wrong, inside
 
 
@@ -136,7 +142,9 @@ def judge(pages: DataFrame, rules=RULES, blocked: DataFrame | tuple[str, ...] =
     ``blocked`` lists domains (a tuple, or a DataFrame with a column ``key``);
     a page is blocked if its host or a parent of it is listed, unless a rule
     decides. Null urls, or urls without "://", have an empty host, fit no rule
-    and are allowed; repeated rows repeat.
+    and are allowed; repeated rows repeat, an empty table gives none. Null and
+    empty keys of the list are ignored; one of more labels than a domain name
+    can have is an error.
     """
     spark = pages.sparkSession
     host, path = url_parts(F.col(url_col).cast("string"))
@@ -144,16 +152,18 @@ def judge(pages: DataFrame, rules=RULES, blocked: DataFrame | tuple[str, ...] =
     fitting = rule_for(F.col("host"), F.col("path"), rules)
     if not isinstance(blocked, DataFrame):
         blocked = spark.range(1).select(F.explode(F.array(*(F.lit(x) for x in blocked)).cast("array<string>")).alias("key"))
-    hosts = rows.select("host").distinct()
-    universe = hosts.select(F.explode(domains(F.col("host"))).alias("key"), F.lit(False).alias("listed")).unionByName(blocked.where("key is not null").select("key", F.lit(True).alias("listed")))
+    blocked = blocked.where("key is not null and key <> ''").select("key")
+    depth = blocked.agg(F.max(labels(F.col("key")))).first()[0] or 0
+    if depth > MAX_LABELS:
+        raise ValueError(f"a listed domain has {depth} labels")
+    keys = F.array(*domains(F.col("host"), depth)).cast("array<string>")
+    universe = rows.select("host").distinct().select(F.explode(keys).alias("key")).where("key <> ''").select("key", F.lit(False).alias("listed")).unionByName(blocked.select("key", F.lit(True).alias("listed")))
     universe = materialize(universe.groupBy("key").agg(F.max("listed").alias("listed")), "hosts")
     cascade = build(universe)
-    if cascade is not None:
-        hit = F.exists(domains(F.col("host")), cascade.listed)
-        judged = rows.withColumn("hit", hit)
-    else:  # a list too large for a plan: an equi-join on each host's domains
-        bad = hosts.select("host", F.explode(domains(F.col("host"))).alias("key")).join(blocked, "key", "left_semi").select("host").distinct().withColumn("hit", F.lit(True))
-        judged = rows.join(bad, "host", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    hit = F.lit(False)
+    for key in domains(F.col("host"), depth):
+        hit = hit | ((key != "") & cascade.listed(key))
+    judged = rows.withColumn("hit", hit)
     judged = judged.withColumn("fit", fitting)
     return judged.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"))
 

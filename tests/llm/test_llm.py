@@ -58,10 +58,32 @@ def test_cascade_is_exact(spark):
     assert keys.where(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
 
 
-def test_cascade_falls_back_to_a_join(spark, monkeypatch):
+def test_cascade_of_a_large_list(spark):
+    """Half a million listed keys: filters of some 700 KB, no join."""
+    keys = spark.range(800_000).select(F.concat(F.lit("k"), F.col("id"), F.lit(".example.com")).alias("key"), (F.col("id") % 8 < 5).alias("listed"))
+    cascade = url_cascade.build(keys)
+    wrong = keys.where(cascade.listed(F.col("key")) != F.col("listed"))
+    assert wrong.count() == 0 and "Join" not in wrong._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_url_cascade_refuses_what_it_cannot_hold(spark, monkeypatch):
+    rows = frame(spark, [(1, "http://a.b/")], "page_id long, url string")
+    with pytest.raises(ValueError):
+        url_cascade.judge(rows, blocked=("a." * 127 + "b",))
     monkeypatch.setattr(url_cascade, "MAX_FILTER_BYTES", 8)
-    rows = [(1, "http://www.spam-farm.example.net/x"), (2, "http://fine.example.net/")]
-    assert [r.verdict for r in url_cascade.judge(frame(spark, rows, "page_id long, url string")).orderBy("page_id").collect()] == ["block", "allow"]
+    with pytest.raises(ValueError):
+        url_cascade.judge(rows)
+
+
+def test_url_cascade_long_urls(spark):
+    """Hosts of 100,000 labels, a path of 500,000 characters, and lists that are empty or name a deep domain."""
+    deep = "a." * 100_000 + "spam-farm.example.com"
+    urls = [f"http://{deep}/x", "http://" + "b." * 100_000 + "fine.example.com", "http://h.org/" + "p" * 500_000, "http://" + "c" * 200_000, "http://" + "." * 50_000]
+    rows = frame(spark, list(enumerate(urls)), "page_id long, url string")
+    got = url_cascade.judge(rows).orderBy("page_id").collect()
+    assert [tuple(r)[1:] for r in got] == [brute_url(u) for u in urls]
+    assert {r.verdict for r in url_cascade.judge(rows, rules=(), blocked=()).collect()} == {"allow"}
+    assert [r.verdict for r in url_cascade.judge(rows, rules=(), blocked=("a.a.a.spam-farm.example.com", "", ".")).orderBy("page_id").collect()] == ["block", "allow", "allow", "allow", "block"]
 
 
 # 2
