@@ -14,11 +14,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 #: Entries after which a worker's word cache is emptied, and the longest word that it remembers: some 25 MB at most.
 CACHE_LIMIT = 200_000
 CACHE_WORD = 32
 
+#: Bits of the filter that picks out rows by a column, at most (16 MB).
+FILTER_BITS = 1 << 27
+
 U = np.uint64
 
 
@@ -75,6 +79,41 @@ def materialize(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def marked(frame: DataFrame, column: str, wanted: DataFrame, mark: str) -> DataFrame:
+    """``frame`` with a column ``mark``: whether the long ``column`` is in the only column of ``wanted``; true for a few others, too.
+
+    A bit filter of at most ``FILTER_BITS`` stands for the wanted values: its
+    size is bounded whatever their number, and a wrong hit costs time only. So
+    no row is shuffled for it, and no frequent value meets in one task.
+    """
+    spark = frame.sparkSession
+    wanted = wanted.toDF("value").where("value is not null")
+    count = wanted.agg(F.approx_count_distinct("value")).first()[0]
+    bits = min(FILTER_BITS, 1 << max(10, (16 * count).bit_length()))
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = wanted.select(F.shiftright(bit("value"), 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(value), {bits}) & 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    array = np.zeros(bits // 64, np.int64)
+    found = words.toArrow()  # FILTER_BITS / 64 rows at most
+    array[found.column("word").to_numpy()] = found.column("mask").to_numpy()
+    sent = spark.sparkContext.broadcast(array)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = sent.value
+        for batch in batches:
+            bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            hit = (mask[bit >> 6] >> (bit & 63)) & 1 == 1
+            yield batch.set_column(batch.num_columns - 1, mark, pa.array(hit, pa.bool_()))
+
+    keyed = frame.select("*", F.when(F.col(column).isNotNull(), bit(F.col(column).cast("long"))).otherwise(0).alias(mark))
+    schema = StructType([*frame.schema.fields, StructField(mark, BooleanType())])
+    return keyed.mapInArrow(run, schema)
+
+
+def picked(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``frame`` that ``marked`` marks."""
+    return marked(frame.where(F.col(column).isNotNull()), column, wanted, "picked").where("picked").drop("picked")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of at most ``rows`` rows and about ``limit`` bytes (one row at least)."""
     for batch in batches:

@@ -33,9 +33,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
-from framequarry.llm._shared import U, materialize, mix, odd_multipliers, scratch, shingle_set, slices, table
+from framequarry.llm._shared import U, marked, materialize, mix, odd_multipliers, picked, scratch, shingle_set, slices, table
 from framequarry.llm.components import connected_components
 
 POSITIONS = 48
@@ -53,9 +52,6 @@ SALTS = 16
 SKETCH_BITS = 20
 #: Partners that a document's text is sent to its home for, at most; with more it has several homes.
 PARTNERS = 64
-#: Bits of the filter that picks out the texts to be confirmed, at most (16 MB).
-FILTER_BITS = 1 << 27
-
 _A = odd_multipliers(POSITIONS, 11)
 _LEADS = np.random.default_rng(1000).permutation(POSITIONS).reshape(TREES, MIN_DEPTH)
 _ORDERS = np.stack([np.append(lead, np.random.default_rng(1001 + t).permutation(np.setdiff1d(np.arange(POSITIONS), lead))) for t, lead in enumerate(_LEADS)])
@@ -232,41 +228,6 @@ def _neighbours(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return pairs, both.where("v is null").select(F.col("n").alias("region"), F.col("u").alias("id")).distinct()
 
 
-def _marked(frame: DataFrame, column: str, wanted: DataFrame, mark: str) -> DataFrame:
-    """``frame`` with a column ``mark``: whether the long ``column`` is in the only column of ``wanted``; true for a few others, too.
-
-    A bit filter of at most ``FILTER_BITS`` stands for the wanted values: its
-    size is bounded whatever their number, and a wrong hit costs time only. So
-    no row is shuffled for it, and no frequent value meets in one task.
-    """
-    spark = frame.sparkSession
-    wanted = wanted.toDF("value").where("value is not null")
-    count = wanted.agg(F.approx_count_distinct("value")).first()[0]
-    bits = min(FILTER_BITS, 1 << max(10, (16 * count).bit_length()))
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    words = wanted.select(F.shiftright(bit("value"), 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(value), {bits}) & 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    array = np.zeros(bits // 64, np.int64)
-    found = words.toArrow()  # FILTER_BITS / 64 rows at most
-    array[found.column("word").to_numpy()] = found.column("mask").to_numpy()
-    sent = spark.sparkContext.broadcast(array)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = sent.value
-        for batch in batches:
-            bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            hit = (mask[bit >> 6] >> (bit & 63)) & 1 == 1
-            yield batch.set_column(batch.num_columns - 1, mark, pa.array(hit, pa.bool_()))
-
-    keyed = frame.select("*", F.when(F.col(column).isNotNull(), bit(F.col(column).cast("long"))).otherwise(0).alias(mark))
-    schema = StructType([*frame.schema.fields, StructField(mark, BooleanType())])
-    return keyed.mapInArrow(run, schema)
-
-
-def _picked(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """The rows of ``frame`` that ``_marked`` marks."""
-    return _marked(frame.where(F.col(column).isNotNull()), column, wanted, "picked").where("picked").drop("picked")
-
-
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v) whose full sets are linked.
 
@@ -298,7 +259,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
     wanted = pairs.select("u", "v").repartitionByRange(parts, "u", "v").sortWithinPartitions("u", "v").mapInArrow(deal, "home long, u long, doc_id long")
     wanted = materialize(wanted, "homes")
-    rows = _picked(docs, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("home", "u", "doc_id", "text")
+    rows = picked(docs, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("home", "u", "doc_id", "text")
     rows = rows.repartition(parts, "home").sortWithinPartitions(F.asc("home"), F.asc("u"), F.asc(F.col("u") != F.col("doc_id")), F.asc("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,9 +320,9 @@ def _dense_pairs(dense: DataFrame, texts: DataFrame, classes: DataFrame, parts:
     """Pairs (u, v) of different components, both in a dense region (region, id), that may be linked by their rarest shingles."""
     members = materialize(_label(dense, "id", parts, "component"), "regions")
     mixed = members.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    inside = _picked(members, "region", mixed.select("region")).select("id", "component").distinct()
+    inside = picked(members, "region", mixed.select("region")).select("id", "component").distinct()
     inside = materialize(inside.join(classes.select("id", "n").groupBy("id").agg(F.max("n").alias("n")), "id"), "dense")
-    texts = materialize(_picked(texts, "doc_id", inside.select("id")).join(inside.withColumnRenamed("id", "doc_id"), "doc_id"), "texts")
+    texts = materialize(picked(texts, "doc_id", inside.select("id")).join(inside.withColumnRenamed("id", "doc_id"), "doc_id"), "texts")
     levels = texts.sparkSession.sparkContext.broadcast(_rarity(texts, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,7 +339,7 @@ def _dense_pairs(dense: DataFrame, texts: DataFrame, classes: DataFrame, parts:
     shares = tokens.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
     stats = shares.groupBy("token").agg(F.max_by("component", F.struct("k", -F.col("component"))).alias("main"), F.sum("k").alias("k"), F.max("k").alias("largest")).where("k > largest")
     stats = materialize(stats.select("token", "main", F.ceil(F.col("k") / BLOCK).alias("blocks"), F.ceil((F.col("k") - F.col("largest")) / BLOCK).alias("few_blocks")), "stats")
-    tokens = _picked(tokens, "token", stats.select("token"))
+    tokens = picked(tokens, "token", stats.select("token"))
     # a frequent shingle's rows are joined to its figures in SALTS parts
     stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     tokens = materialize(tokens.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(stats, ["token", "salt"]), "tokens")
@@ -437,7 +398,7 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     either = candidates.select("u", "v", "equal", F.col("u").alias("at")).unionByName(candidates.select("u", "v", "equal", F.col("v").alias("at")))
     best = Window.partitionBy("at").orderBy(F.desc("equal"), "u", "v")
     first = materialize(either.withColumn("k", F.row_number().over(best)).where("k <= 2").select("u", "v").distinct(), "pairs")
-    texts = materialize(_picked(docs, "doc_id", candidates.select(F.explode(F.array("u", "v"))).unionByName(dense.select(F.col("id").alias("col")))), "texts")
+    texts = materialize(picked(docs, "doc_id", candidates.select(F.explode(F.array("u", "v"))).unionByName(dense.select(F.col("id").alias("col")))), "texts")
     grouped = connected_components(confirm(first, texts, width, percent))
     left = _label(_label(candidates.select("u", "v").join(first, ["u", "v"], "left_anti"), "u", grouped, "cu"), "v", grouped, "cv").where("cu <> cv")
     grouped = _merged(grouped, confirm(materialize(left.select("u", "v"), "pairs"), texts, width, percent))
@@ -473,10 +434,10 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name))
     # rows that surely stay aren't shuffled
-    marked = _marked(docs, id_col, gone.unionByName(repeated), f"{name}_mark")
-    stay, asked = (marked.where(c).drop(f"{name}_mark") for c in (~F.col(f"{name}_mark"), F.col(f"{name}_mark")))
+    split = marked(docs, id_col, gone.unionByName(repeated), f"{name}_mark")
+    stay, asked = (split.where(c).drop(f"{name}_mark") for c in (~F.col(f"{name}_mark"), F.col(f"{name}_mark")))
     single = asked.join(gone.unionByName(repeated), key == F.col(name), "left_anti")
-    return stay.unionByName(single).unionByName(_picked(asked, id_col, repeated).join(repeated, key == F.col(name), "left_semi").dropDuplicates([id_col]))
+    return stay.unionByName(single).unionByName(picked(asked, id_col, repeated).join(repeated, key == F.col(name), "left_semi").dropDuplicates([id_col]))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

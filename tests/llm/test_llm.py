@@ -387,6 +387,29 @@ def test_warc(spark):
     assert warc.archive_pages(frame(spark, [], "page_id long, url string, html string")).count() == 0
 
 
+def test_warc_urls_and_long_pages(spark):
+    """Urls that look like an encoding, that can't stand in a header, and pages of 3 MB, many of them equal."""
+    long = "<p>" + "x" * 3_000_000
+    urls = ["data:;base64,SGVsbG8=", "data:;base64,%%%x", "http://h/\u00e9", "http://h/a b", " http://h/ ", "u\r\nWARC-Type: revisit", "X" * 100_000, "", None, "http://h/%41"]
+    rows = [(k, u, long if k % 2 else f"page {k} " + "y" * 200) for k, u in enumerate(urls)] + [(None, None, "\r\n\r\nHTTP/1.1" * 20), (None, "n", "z" * 300), (None, "n", "z" * 300), (40, "h", "\r\n\r\n")]
+    got = warc.archive_pages(frame(spark, rows, "page_id long, url string, html string")).collect()
+    want = [(k, len(h.encode()), hashlib.sha256(h.encode()).hexdigest(), "revisit" if h == long and k != 1 else "response", 1 if h == long and k != 1 else None, u or "") for k, u, h in rows]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_warc_records(spark):
+    """Headers as the format asks: an identifier of its own for each record, a HTTP head, the payload after it."""
+    seen = set()
+    for page, url, refers in ((1, "http://h/", None), (None, "http://h/\u00e9", None), (1, "http://h/", 7)):
+        headers, body = warc.parse(warc.render(page, url, b"<p>", "d", refers))
+        seen.add(headers["WARC-Record-ID"])
+        assert headers["Content-Type"].startswith("application/http") and body.startswith(b"HTTP/1.1 200 OK\r\n")
+        assert warc.payload_of(body) == (b"<p>" if refers is None else b"") and warc.target_of(headers) == url
+    assert len(seen) == 3
+    few = warc.train([b"one record", b"another record"])
+    assert few == b"one recordanother record"
+
+
 def test_warc_file_has_its_dictionary(spark, tmp_path):
     rng = random.Random(10)
     rows = [(k, "u", prose(rng, 80)) for k in range(60)]
