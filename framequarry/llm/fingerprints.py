@@ -1,12 +1,13 @@
 """Document fingerprints: a sketch that keeps every shingle hash below a fixed fraction of the hash range.
 
 A text's shingles are its distinct runs of ``WIDTH`` UTF-8 bytes (the whole
-text where it is shorter). ``sketch`` keeps every hash below ``FRACTION`` of
-the range, and the ``FLOOR`` smallest hashes in any case, so that short texts
-keep all they have. Both parts survive merging: the sketch of two texts taken
-together is the merged sketch of their sketches. A sketch is complete below
-its own bound, so any two sketches can be compared below the smaller bound,
-however unequal the documents are.
+text where it is shorter). A sketch keeps the hashes below ``FRACTION`` of the
+range, whatever the text's length, and nothing else. So the sketch of two
+texts taken together is the merged sketch of theirs, and the share of one
+sketch's hashes that another has estimates how much of the one text is in the
+other, however unequal they are. A text of few shingles may have an empty
+sketch; its fingerprint still names the text, by a digest of its own, and
+likeness to it is then that of the digests.
 """
 
 from __future__ import annotations
@@ -22,10 +23,7 @@ from pyspark.sql import functions as F
 from framequarry.llm._shared import U, mix, odd_multipliers, slices, table
 
 WIDTH = 12
-FRACTION = 1 / 32
-FLOOR = 64
-
-_TOP = U(0xFFFFFFFFFFFFFFFF)
+FRACTION = 1 / 16
 
 
 def shingle_hashes(data: bytes, width: int = WIDTH) -> np.ndarray:
@@ -48,49 +46,45 @@ def shingle_hashes(data: bytes, width: int = WIDTH) -> np.ndarray:
     return mix(total)
 
 
-def sketch(hashes: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> np.ndarray:
-    """Sorted kept hashes of a text's shingle hashes."""
-    low = np.unique(hashes[hashes < U(int(fraction * 2**64))])
-    if len(low) >= floor:
-        return low
-    kept = np.unique(hashes)
-    return kept[: max(floor, len(low))]
+def sketch(hashes: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
+    """Sorted kept hashes of a text's shingle hashes, their leading 32 bits."""
+    return np.unique((hashes[hashes < U(int(fraction * 2**64))] >> U(32)).astype(np.uint32))
 
 
-def merge(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> np.ndarray:
+def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sketch of two documents taken together, from their sketches alone."""
-    return sketch(np.concatenate([a, b]), fraction, floor)
+    return np.union1d(a, b)
+
 
+def compare(a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
+    """(resemblance, containment of a in b, containment of b in a), each from 0 to 1; all 0 where a side is empty."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / max(1, len(a) + len(b) - shared), shared / max(1, len(a)), shared / max(1, len(b))
 
-def _bound(kept: np.ndarray, fraction: float, floor: int) -> np.uint64:
-    """Hashes up to here are complete in the sketch."""
-    if len(kept) < floor:
-        return _TOP
-    return max(U(int(fraction * 2**64)) - U(1), kept[-1])
 
+class Fingerprint:
+    """A text's sketch, and a digest of its shingles that stands for it where a sketch is empty."""
 
-def compare(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> tuple[float, float, float]:
-    """(resemblance, containment of a in b, containment of b in a), each from 0 to 1; two empty texts are alike."""
-    if not len(a) or not len(b):
-        same = float(len(a) == len(b))
-        return same, same or float(not len(a)), same or float(not len(b))
-    bound = min(_bound(a, fraction, floor), _bound(b, fraction, floor))
-    x, y = a[: np.searchsorted(a, bound, "right")], b[: np.searchsorted(b, bound, "right")]
-    shared = len(np.intersect1d(x, y, assume_unique=True))
-    union = len(x) + len(y) - shared
-    return shared / max(1, union), shared / max(1, len(x)), shared / max(1, len(y))
+    def __init__(self, data: bytes):
+        hashes = shingle_hashes(data)
+        self.sketch = sketch(hashes)
+        self.digest = hashlib.sha256(data).hexdigest()[:16]
 
+    def __str__(self) -> str:
+        """The digest, and the sketch as big-endian hex, 8 digits a hash, in rising order."""
+        return f"{self.digest}:{self.sketch.astype('>u4').tobytes().hex()}"
 
-def encode(kept: np.ndarray) -> str:
-    """A sketch as text: big-endian hex, 16 digits a hash, in rising order."""
-    return kept.astype(">u8").tobytes().hex()
+    def likeness(self, other: Fingerprint) -> tuple[float, float, float]:
+        """As ``compare``; equal texts are alike in full, also where their sketches are empty."""
+        return (1.0, 1.0, 1.0) if self.digest == other.digest else compare(self.sketch, other.sketch)
 
 
 def decode(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u8").astype(U)
+    """The sketch of a fingerprint's text."""
+    return np.frombuffer(bytes.fromhex(text.partition(":")[2]), ">u4").astype(np.uint32)
 
 
-_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, kept_in_edited double, kept_in_next double"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +94,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def full() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
         names = [x.split()[0] for x in _SCHEMA.split(", ")]
         out_batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
         out.clear()
@@ -108,13 +102,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in slices(batches):
         for bucket, extra, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            kept = sketch(shingle_hashes(text.encode("utf-8", "surrogatepass")))
+            kept = Fingerprint(text.encode("utf-8", "surrogatepass"))
             if held and held[0] == bucket and not held[1]:
                 own_id, own, own_kept = held[2:]
                 half = len(own) // 2
                 edited = (own[: len(own) - half] + text[:half]).encode("utf-8", "surrogatepass")
-                edited_kept = sketch(shingle_hashes(edited))
-                out.append((own_id, len(own), hashlib.sha256(edited).hexdigest(), encode(own_kept), encode(edited_kept), compare(own_kept, edited_kept)[0], compare(own_kept, kept)[0]))
+                changed = Fingerprint(edited)
+                to_edited, to_next = own_kept.likeness(changed), own_kept.likeness(kept)
+                out.append((own_id, len(own), hashlib.sha256(edited).hexdigest(), str(own_kept), str(changed), to_edited[0], to_next[0], to_edited[1], to_next[1]))
                 if len(out) >= 256:
                     yield full()
             held = (bucket, extra, doc, text, kept)
@@ -123,7 +118,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """Fingerprints of every text and of its edited text, with their likeness and that of the next document.
+    """Fingerprints of every text and of its edited text, with their likeness (resemblance) and that of the next document.
+
+    ``kept_in_edited`` and ``kept_in_next`` are the share of the text that the
+    edited text and the next document have (containment).
 
     The next document is the following one by descending id, ties ordered by
     text; null ids come last; after the last row comes the first, so a lone
