@@ -185,14 +185,16 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: Column, per_class: int, max_bytes: int) -> tuple[list[str], np.ndarray, float]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: Column, per_class: int, piece: int) -> tuple[list[str], np.ndarray, float]:
     """(texts, labels, share of label 1) to fit a classifier on.
 
     Of each class, the ``per_class`` labelled ids with the smallest hashes are
-    taken, of their texts those of up to ``max_bytes``. Both bounds keep what
-    reaches the driver small; the share is counted over all labels in the
-    fold. ``docs`` has doc_id and text; an id with several labels counts as
-    toxic or good where one of them says so.
+    taken. A text of more than ``piece`` characters is cut into pieces of up to
+    so many, each with the text's label, and of a class's pieces those
+    ``per_class`` with the smallest hashes stay. So what reaches the driver is
+    bounded, and no text is left out for its length. The share is counted over
+    all labels in the fold. ``docs`` has doc_id and text; an id with several
+    labels counts as toxic or good where one of them says so.
     """
     kept = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(in_fold & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     kept = kept.groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -206,8 +208,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: Col
         some = kept.where((F.col("label") == value) & (place < bound)).orderBy(place, "doc_id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
     # 2 * per_class ids at most
-    rows = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes)).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
-    found = sorted(rows.collect(), key=lambda r: r.doc_id)
+    rows = docs.select("doc_id", "text").where("text <> ''").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / piece).cast("int")), lambda k: F.substring(F.col("text"), k * piece + 1, F.lit(piece)))
+    rows = rows.select("doc_id", "label", F.posexplode(pieces).alias("number", "text"))
+    order = (F.when(F.col("number") == 0, place).otherwise(F.pmod(F.xxhash64("doc_id", "number"), F.lit(span))), "doc_id", "number")
+    some = [rows.where(F.col("label") == value).orderBy(*order).limit(per_class) for value in (0, 1)]
+    found = sorted(some[0].unionByName(some[1]).collect(), key=lambda r: (r.doc_id, r.number))
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return [r.text for r in found], np.array([r.label for r in found], np.int64), share
 

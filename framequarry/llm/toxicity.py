@@ -19,11 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framequarry.llm._shared import CACHE_LIMIT, class_weights, labelled_sample, remainder, slices, table
+from framequarry.llm._shared import CACHE_LIMIT, CACHE_WORD, class_weights, labelled_sample, remainder, slices, table
 
-#: Labelled texts of each class that the model is fitted on, at most, and their greatest length in bytes.
+#: Labelled texts of each class that the model is fitted on, at most; a longer one counts as several texts of up to so many characters.
 PER_CLASS = 2000
-MAX_BYTES = 40_000
+PIECE = 40_000
 FEATURES = 1 << 18
 PREFIXES = (4, 5, 6)
 EPOCHS = 16
@@ -95,15 +95,19 @@ def _only(flat: np.ndarray, sizes: np.ndarray, kept: np.ndarray) -> tuple[np.nda
     return at[good], np.bincount(owner[good], minlength=len(sizes))
 
 
-def swapped_pairs(texts: list[str]) -> list[tuple[set[str], set[str]]]:
-    """(words of a sentence, words of its copy) for every sentence with a group's name and each other name of its line."""
+def swapped_pairs(texts: list[str]) -> list[tuple[str, str | None]]:
+    """(name, other name) for every sentence with a group's name and each other name of its line; None where the sentence has that one already.
+
+    A sentence and its copy differ in these two words alone, so all the other
+    words' weights cancel out and none need be kept.
+    """
     others = {t: [x for x in line if x != t] for line in IDENTITY_TERMS for t in line}
     out = []
     for text in texts:
         for sentence in _SENTENCE.split(text):
             own = set(words(sentence))
-            for term in own & others.keys():
-                out += [(own, own - {term} | {x}) for x in others[term]]
+            for term in sorted(own & others.keys()):
+                out += [(term, None if x in own else x) for x in others[term]]
     return out
 
 
@@ -119,8 +123,6 @@ class Model:
 
     def score(self, text: str | None) -> float:
         """Probability of label 1; an empty text has that of a text without known words."""
-        if len(self.words) > CACHE_LIMIT:
-            self.words.clear()
         # sorted, so that equal texts have the same score to the last bit
         z = self.bias + sum(sorted(map(self.words.__getitem__, set(words(text)))))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
@@ -132,7 +134,11 @@ class _WordWeights(dict):
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        value = self[word] = sum(self.weights.get(k, 0.0) for k in word_features(word))
+        value = sum(self.weights.get(k, 0.0) for k in word_features(word))
+        if len(word) <= CACHE_WORD:
+            if len(self) >= CACHE_LIMIT:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -147,7 +153,10 @@ def fit(texts: list[str], labels: np.ndarray, share: float, swap_charge: float =
         return Model(float(np.log(p / (1 - p))), np.empty(0, np.int64), np.empty(0))
     flat, sizes = _rows(set(words(t)) for t in texts)
     pairs = swapped_pairs(texts)
-    sides, pair_sizes = _rows([side for pair in pairs for side in pair])
+    kinds = sorted(set(pairs), key=str)
+    number = {pair: k for k, pair in enumerate(kinds)}
+    pairs = np.array([number[pair] for pair in pairs], np.int64)
+    sides, pair_sizes = _rows([{x} if x else set() for pair in kinds for x in pair])
     # a feature of too few texts would only learn them by heart
     owner = np.repeat(np.arange(len(texts)), sizes)
     per_text = np.unique(flat * len(texts) + owner) // len(texts)
@@ -181,10 +190,11 @@ def fit(texts: list[str], labels: np.ndarray, share: float, swap_charge: float =
             logit = bias + np.bincount(owner, weights=w[features], minlength=len(own))
             rest = weight[own] * (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - labels[own])
             slope = np.bincount(features, weights=rest[owner], minlength=count)
-            for i in pair_order[pair_at : pair_at + pair_batch]:
+            for i in pairs[pair_order[pair_at : pair_at + pair_batch]]:
                 x, y = (sides[pair_ends[k] : pair_ends[k + 1]] for k in (2 * i, 2 * i + 1))
                 gap = swap_charge * (w[x].sum() - w[y].sum())
-                slope += np.bincount(x, minlength=count) * gap - np.bincount(y, minlength=count) * gap
+                np.add.at(slope, x, gap)
+                np.add.at(slope, y, -gap)
             pair_at += pair_batch
             update(slope)
             bias_squares += rest.sum() ** 2
@@ -196,7 +206,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, swap_charge: float =
 def train(docs: DataFrame, labels: DataFrame, in_fold=None) -> Model:
     """A model from ``docs`` (doc_id, text) and the ``toxic`` column of ``labels`` (doc_id, toxic)."""
     fold = remainder(F.col("doc_id"), 3) != 1 if in_fold is None else in_fold
-    return fit(*labelled_sample(docs, labels, "toxic", fold, PER_CLASS, MAX_BYTES))
+    return fit(*labelled_sample(docs, labels, "toxic", fold, PER_CLASS, PIECE))
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -215,7 +225,11 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows whose text scores ``threshold`` or more."""
+    """``docs`` without the rows whose text scores ``threshold`` or more.
+
+    Rows go by their text alone: null ids and repeated rows stay or go like
+    any, a null text counts as empty, an empty table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
