@@ -25,13 +25,13 @@ STRIDE = 2
 DIM = 6
 FILTERS = 32
 HIDDEN = 16
-#: Labelled texts of each class that the network is fitted on, at most, and their greatest length in bytes.
+#: Labelled texts of each class that the network is fitted on, at most; a longer one counts as several texts of up to so many characters.
 PER_CLASS = 800
-MAX_BYTES = 12_000
+PIECE = 12_000
 EPOCHS = 14
 BATCH = 32
 RATE = 4e-3
-#: Share of good texts that a short piece stands for in an epoch.
+#: Share of texts, good and bad alike, that a short piece stands for in an epoch.
 SHORT = 0.15
 THRESHOLD = 0.3
 #: Chunks that are convolved at a time.
@@ -159,8 +159,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
             own = order[at : at + BATCH]
             step += 1
             rate = RATE * (1 - step / (total + 1))
-            # some good texts also stand for their own short pieces, as few labelled texts are short
-            batch = [_chunks(raw[i][(c := int(rng.integers(max(1, len(raw[i]) - 20)))) : c + int(rng.integers(12, 160))]) if labels[i] and rng.random() < SHORT else parts[i] for i in own]
+            # some texts stand for their own short pieces, as few labelled texts are short
+            batch = [_chunks(raw[i][(c := int(rng.integers(max(1, len(raw[i]) - 20)))) : c + int(rng.integers(12, 160))]) if rng.random() < SHORT else parts[i] for i in own]
             for k, g, m, v in zip(net.NAMES, net.gradients(batch, labels[own], weights[own]), first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -171,7 +171,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS
 def train(docs: DataFrame, labels: DataFrame, in_fold=None) -> Network:
     """A network from ``docs`` (doc_id, text) and the ``quality`` column of ``labels`` (doc_id, quality)."""
     fold = remainder(F.col("doc_id"), 5) != 0 if in_fold is None else in_fold
-    return fit(*labelled_sample(docs, labels, "quality", fold, PER_CLASS, MAX_BYTES))
+    return fit(*labelled_sample(docs, labels, "quality", fold, PER_CLASS, PIECE))
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framequarry.llm import bpe, components, decontam, fingerprints, near_dedup, pii, quality, secret_scan, toxicity, url_cascade, warc
+from framequarry.llm import _shared, bpe, components, decontam, fingerprints, near_dedup, pii, quality, secret_scan, toxicity, url_cascade, warc
 from framequarry.llm._shared import fresh_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -319,6 +319,7 @@ def test_toxicity_held_out(spark):
 
 
 def test_counterfactual_charge():
+    rng = random.Random(6)
     texts, labels = [], []
     for _ in range(600):  # a group's name goes along with insults in the sample
         mark = rng.random() < 0.5
@@ -345,8 +346,18 @@ def test_fingerprints(spark):
         edited = own[: len(own) - len(own) // 2] + other[: len(own) // 2]
         r = got[doc]
         assert r.n_chars == len(own) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        kept = fingerprints.sketch(fingerprints.shingle_hashes(own.encode()))
-        assert (fingerprints.decode(r.fingerprint) == kept).all() and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        # likenesses by sets of the fingerprints' hashes, and for long texts near those of all runs of bytes
+        mine, theirs, after_own = (set(fingerprints.decode(x).tolist()) for x in (r.fingerprint, r.edited_fingerprint, got[after].fingerprint))
+        runs = lambda t: {t.encode()[k : k + 12] for k in range(max(1, len(t.encode()) - 11))}
+        for near, kept, hashes, other_text in ((r.near_edited, r.kept_in_edited, theirs, edited), (r.near_next, r.kept_in_next, after_own, other)):
+            if own == other_text:
+                assert near == kept == 1.0
+                continue
+            assert near == len(mine & hashes) / max(1, len(mine | hashes)) and kept == len(mine & hashes) / max(1, len(mine))
+            if len(own) > 1500:
+                x, y = runs(own), runs(other_text)
+                assert abs(near - len(x & y) / len(x | y)) < 0.15 and abs(kept - len(x & y) / len(x)) < 0.15
+        assert abs(len(mine) - len(runs(own)) / 16) < 8 + len(runs(own)) / 32
     assert got[7].fingerprint == got[100].fingerprint
     assert fingerprints.fingerprint_documents(frame(spark, [])).count() == 0
     lone = fingerprints.fingerprint_documents(frame(spark, [(None, "abc")])).collect()
@@ -564,6 +575,50 @@ def test_decontamination_in_blocks(spark, monkeypatch):
 # 10
 
 
+def test_long_labelled_texts_count(spark):
+    """Texts above a piece's length are fitted on in pieces; what comes to the driver is bounded."""
+    docs = frame(spark, [(k, f"t{k} " * (10 if k % 3 else 4000)) for k in range(30)] + [(99, ""), (None, "x"), (3, "zz again")])
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(30)], "doc_id long, quality int, toxic int")
+    texts, marks, share = _shared.labelled_sample(docs, labels, "toxic", F.lit(True), 15, 1000)
+    assert len(texts) <= 30 and max(map(len, texts)) <= 1000 and share == 0.5
+    whole, marks, _ = _shared.labelled_sample(docs, labels, "toxic", F.lit(True), 1000, 1000)
+    assert len(whole) > 100 and sorted({int(t.split()[1][1:]) for t in whole if len(t) > 20}) == list(range(30))
+    assert all(int(t.split()[1][1:]) % 2 == y for t, y in zip(whole, marks) if len(t) > 20)
+
+
+def brute_score(net, text):
+    """The network by plain loops over every place of every chunk."""
+    data = (text or "").encode()
+    starts = [0] if len(data) <= 512 else [*range(0, len(data) - 512, 448), len(data) - 512]
+    evidence = []
+    for s in starts:
+        part = data[s : s + 512].ljust(512, b"\0")
+        best = [max(float(np.dot(np.concatenate([net.vectors[b] for b in part[p : p + 8]]), net.filters[:, f])) for p in range(0, 505, 2)) for f in range(quality.FILTERS)]
+        a = [max(0.0, x + float(net.filter_bias[f])) for f, x in enumerate(best)] + [sum(b != 0 for b in part) / 512]
+        h = [max(0.0, float(np.dot(a, net.hidden[:, j])) + float(net.hidden_bias[j])) for j in range(quality.HIDDEN)]
+        evidence.append(float(np.dot(h, net.out)))
+    z = net.combine[0] * max(evidence) + net.combine[1] * sum(evidence) / len(evidence) + net.combine[2]
+    return 1 / (1 + np.exp(z))
+
+
+def test_scores_equal_plain_loops():
+    net = quality.Network(3)
+    rng = random.Random(20)
+    texts = ["", None, "a", prose(rng, 90), prose(rng, 300), "é😀" * 300]
+    assert np.allclose(net.scores(texts), [brute_score(net, t) for t in texts], atol=1e-4)
+    model = toxicity.fit(["a dimwit left. " + prose(rng, 9), prose(rng, 9)] * 40, np.array([1, 0] * 40), 0.5)
+    known = dict(zip(model.features.tolist(), model.values.tolist()))
+    for text in texts:
+        found = {w for w in re.split(r"[\W\d_]+", (text or "").lower()) if w}
+        z = model.bias + sum(known.get(f, 0.0) for w in found for f in toxicity.word_features(w))
+        assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_swaps_cancel_all_but_the_names():
+    pairs = toxicity.swapped_pairs(["A gay man, a woman and men. " * 2 + "x" * 100_000])
+    assert ("man", "boy") in pairs and ("man", None) in pairs and ("woman", None) in pairs and len(pairs) == 2 * (6 + 3 + 3 + 5)
+
+
 def test_quality(spark):
     rng = random.Random(15)
     rows = []
@@ -602,7 +657,7 @@ def test_network_slopes():
         return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
 
     slopes = dict(zip(net.NAMES, net.gradients(parts, labels, weights), strict=True))
-    for name in ("hidden", "out", "combine", "hidden_bias"):
+    for name in net.NAMES:
         value = getattr(net, name)
         at = tuple(np.argwhere(np.abs(slopes[name]) == np.abs(slopes[name]).max())[0])
         kept = value[at]
