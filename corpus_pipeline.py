@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's documents. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``, whatever other columns come along.
+
+Rows count by their texts: a null text counts as an empty one and is neither
+toxic, a leak nor a duplicate. Rows with a null doc_id stay in every stage that
+their text passes; repeated rows of one id and text are reduced to one by the
+near-duplicate stage. An empty table stays empty.
 """
 
 from __future__ import annotations
