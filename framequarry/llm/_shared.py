@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-#: Entries after which a worker's word cache is emptied, and the longest word that it remembers: some 25 MB at most.
-CACHE_LIMIT = 200_000
+#: Entries after which a worker's word cache is emptied, and the longest word that it remembers: some 8 MB at most.
+CACHE_LIMIT = 50_000
 CACHE_WORD = 32
 
 #: Bits of the filter that picks out rows by a column, at most (16 MB).

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from framequarry.llm._shared import slices, table
 
 #: Words after which a worker forgets those it hasn't met for as many, and the longest word that is remembered.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 80_000
 CACHE_CHARS = 64
 
 # White space as the Unicode property has it, in place of \s, which Python's modules read differently.

@@ -432,12 +432,14 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_
     key = F.col(id_col).cast("long")
     name = f"id_{uuid.uuid4().hex}"  # no column of ``docs``
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name))
+    repeated = materialize(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name)), "repeated")
     # rows that surely stay aren't shuffled
     split = marked(docs, id_col, gone.unionByName(repeated), f"{name}_mark")
     stay, asked = (split.where(c).drop(f"{name}_mark") for c in (~F.col(f"{name}_mark"), F.col(f"{name}_mark")))
-    single = asked.join(gone.unionByName(repeated), key == F.col(name), "left_anti")
-    return stay.unionByName(single).unionByName(picked(asked, id_col, repeated).join(repeated, key == F.col(name), "left_semi").dropDuplicates([id_col]))
+    stay = stay.unionByName(asked.join(gone.unionByName(repeated), key == F.col(name), "left_anti"))
+    if repeated.isEmpty():
+        return stay
+    return stay.unionByName(asked.join(repeated, key == F.col(name), "left_semi").dropDuplicates([id_col]))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
