@@ -68,9 +68,10 @@ def size_hint(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("-n")), "n").when(F.contains(path, F.lit("-l")), "l").when(F.contains(path, F.lit("-m")), "m").otherwise("s")
 
 
-def label_text(category: Column, score: Column) -> Column:
-    """``category: 0.87``: the caption of a box (two decimals, half up, as Spark formats)."""
-    return F.format_string("%s: %.2f", category, score)
+@F.pandas_udf(StringType())
+def label_text(category: pd.Series, score: pd.Series) -> pd.Series:
+    """``category: 0.87``: the caption of a box, two decimals, rounded from the exact binary value (half to even)."""
+    return pd.Series([None if c is None or s != s else f"{c}: {s:.2f}" for c, s in zip(category, score, strict=True)], dtype=object)
 
 
 def ontology_lookup(detections: DataFrame, ontology: dict[str, str], prompt: str = "prompt", out: str = "class_name") -> DataFrame:

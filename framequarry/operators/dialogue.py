@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,14 +37,18 @@ def text_content(items: Column) -> Column:
     return F.aggregate(texts, F.lit(""), lambda out, t: F.when(out == "", t).otherwise(F.concat(out, F.lit(" "), t)))
 
 
-def media_count(items: Column, kind: str) -> Column:
-    return F.size(F.filter(items, lambda c: c["type"] == kind))
+def media_count(items: Column, kind: str, keys: tuple[str, ...] = ()) -> Column:
+    """Items of a kind: by their type, or by one of the fields ``keys`` that isn't null."""
+    has = lambda c: [c[k].isNotNull() for k in keys]
+    return F.size(F.filter(items, lambda c: reduce(or_, has(c), F.coalesce(c["type"] == kind, F.lit(False)))))
 
 
 def render(messages: DataFrame, conv: str = "conv", pos: str = "pos", role: str = "role", content: str = "content", add_generation_prompt: bool = False, strict: bool = False) -> DataFrame:
     """conv, prompt, valid of each dialogue.
 
-    ``content`` is a string, or an array of struct(type, text, style). Roles
+    ``content`` is a string, or an array of struct(type, text, style), where an
+    item also counts as an image or a video if it has a field ``image``,
+    ``image_url``, ``video`` or ``video_url`` that isn't null. Roles
     are compared in lower case. A leading "subtitle" message comes right
     after the media markers and stands outside the order of roles; later ones
     are left out but still count as positions. Positions are user at odd and
@@ -51,12 +58,14 @@ def render(messages: DataFrame, conv: str = "conv", pos: str = "pos", role: str
     """
     nested = dict(messages.dtypes)[content].startswith("array")
     c = F.col(content)
+    fields = set(messages.schema[content].dataType.elementType.names) if nested else set()
+    keys = {kind: tuple(k for k in (kind, f"{kind}_url") if k in fields) for kind in ("image", "video")}
     turn = F.struct(
         F.col(pos).alias("pos"),
         F.lower(role).alias("role"),
         (text_content(c) if nested else c).alias("text"),
-        (media_count(c, "image") if nested else F.lit(0)).alias("images"),
-        (media_count(c, "video") if nested else F.lit(0)).alias("videos"),
+        (media_count(c, "image", keys["image"]) if nested else F.lit(0)).alias("images"),
+        (media_count(c, "video", keys["video"]) if nested else F.lit(0)).alias("videos"),
     )
     dialogues = messages.groupBy(conv).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     led = dialogues.withColumn("led", (F.get("turns", F.lit(0))["role"] == "subtitle").cast("int"))

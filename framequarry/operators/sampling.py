@@ -115,7 +115,7 @@ def clamp(value: Column, low: Column, high: Column, pad: float = 1e-6) -> Column
     return F.greatest(low, F.least(high - pad, value)) if not pad else F.greatest(low + pad, F.least(high - pad, value))
 
 
-def times_to_frames(targets: DataFrame, frames: DataFrame, bucket_seconds: float | None = None) -> DataFrame:
+def times_to_frames(targets: DataFrame, frames: DataFrame) -> DataFrame:
     """The frame of each target time: the first whose end lies after it, or the clip's last.
 
     ``targets`` has clip, t; ``frames`` has clip, frame_idx, end. Both are

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framequarry.functions import answers
-from framequarry.operators import batching, detect, dialogue, motion, sampling, tiling
+from framequarry.operators import batching, detect, dialogue, motion, pixels, sampling, tiling
 from framequarry.sources import media
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,7 +164,7 @@ def q12_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("tiling.rows") * F.col("tiling.cols") + 1).alias("n_crops"),
         tiling.token_count(F.col("grid")).alias("n_tokens"),
         tiling.patch_tokens(F.col("grid")).alias("n_patch_tokens"),
-        F.length(tiling.image_tokens(F.col("grid"))).cast("long").alias("n_string_chars"),
+        F.md5(tiling.image_tokens(F.col("grid")).cast("binary")).alias("tokens_md5"),
     )
 
 
@@ -259,7 +259,8 @@ def q20_registry_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = _table(spark, sf_dir, "supplier")
     named = suppliers.select("s_suppkey", media.model_id(F.col("s_name"), REGISTRY).alias("model"), detect.size_hint(F.concat(F.lit("model-"), F.substring(F.lit("mlnx"), (F.col("s_suppkey") % 4 + 1).cast("int"), F.lit(1)))).alias("size"))
     required = suppliers.select(F.concat(F.lit("Supplier#"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("name"))
-    return named.crossJoin(F.broadcast(media.all_present(required, suppliers.select(F.col("s_name").alias("name")))))
+    present = lambda have, out: F.broadcast(media.all_present(required, have.select(F.col("s_name").alias("name"))).toDF(out))
+    return named.crossJoin(present(suppliers, "all_present")).crossJoin(present(suppliers.where("s_suppkey % 7 <> 0"), "most_present"))
 
 
 def q21_clip_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,6 +270,53 @@ def q21_clip_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["clip", "segment_no"]).select("clip", "segment_no", "file_name", "duration", "n_frames")
 
 
+def _pictures(spark: SparkSession, sf_dir: str, height: int, width: int, channels: int) -> DataFrame:
+    """An image a part, of made-up pixels: (image, height, width, channels, data)."""
+    at = F.sequence(F.lit(0), F.lit(height * width * channels - 1))
+    value = lambda k: F.pmod(F.col("p_partkey") * 7 + F.floor(k / (width * channels)) * 13 + F.floor(k / channels) % width * 5 + k % channels * 3, F.lit(256))
+    data = F.unhex(F.array_join(F.transform(at, lambda k: F.lpad(F.hex(value(k).cast("long")), 2, "0")), ""))
+    return _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("image"), F.lit(height).alias("height"), F.lit(width).alias("width"), F.lit(channels).alias("channels"), data.alias("data"))
+
+
+def q22_image_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pixels.image_patches(_pictures(spark, sf_dir, 6, 8, 3), 4, 4, 2)
+    return found.select("image", "patch", F.posexplode("pixels").alias("place", "x")).select("image", "patch", "place", F.round(F.col("x") * 255).cast("int").alias("value"))
+
+
+def q23_motion_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of a still scene with some noise, in which a square moves while an event's value is high."""
+    clips = _frames(spark, sf_dir)
+    at = F.sequence(F.lit(0), F.lit(16 * 24 - 1))
+    y, x = lambda k: F.floor(k / 24), lambda k: k % 24
+    inside = lambda k: (F.col("motion") > THRESHOLD) & (F.abs(y(k) - 8) <= 4) & (F.abs(x(k) - 3 - F.col("frame_idx") % 18) <= 4)
+    value = lambda k: F.when(inside(k), 240).otherwise(60 + y(k) * 3 + x(k) * 2 + F.pmod(k * 7 + F.col("frame_idx") * 3, F.lit(3)))
+    data = F.unhex(F.array_join(F.transform(at, lambda k: F.lpad(F.hex(value(k).cast("long")), 2, "0")), ""))
+    frames = clips.select("clip", "frame_idx", F.lit(16).alias("height"), F.lit(24).alias("width"), F.lit(1).alias("channels"), data.alias("data"))
+    return pixels.motion_percent(frames)
+
+
+def q24_total_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return motion.clip_manifest(_segments(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_clips"), F.count_distinct("clip").alias("n_sources"))
+
+
+def q25_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", (F.col("l_suppkey") % 80).cast("int").alias("c"), *((F.col("l_partkey") % k / 1024).alias(f"v{k}") for k in (1021, 509, 251, 127)))
+    return boxes.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", detect.label_line("c", "v1021", "v509", "v251", "v127").alias("line"), detect.label_name(F.concat(F.lit("dir.a/"), F.col("l_orderkey").cast("string"), F.lit(".tar.png"))).alias("file_name"))
+
+
+def q26_video_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _table(spark, sf_dir, "part")
+    times = F.transform(F.sequence(F.lit(0).cast("long"), F.col("p_partkey") % 4), lambda k: k * (F.col("p_size") % 4 * 0.25 + 0.125))
+    return part.select("p_partkey", F.md5(tiling.video_string(times, (F.col("p_size") % 3 + 1).cast("int"), (F.col("p_size") % 5 + 1).cast("int")).cast("binary")).alias("tokens_md5"))
+
+
+def q27_scatter_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "events").select(F.col("user_id").alias("sequence"), F.col("event_id").alias("pos"), (F.col("event_id") % 3).alias("id"), F.col("value").cast("double").alias("value"))
+    order = Window.partitionBy("sequence").orderBy("pos")
+    features = lines.where("id = 2").select("sequence", (F.row_number().over(order) - 1).alias("ordinal"), (F.col("pos") * 0.5).alias("value"))
+    return batching.scatter_add(lines, features, 2).select("sequence", "pos", F.round("value", 6).alias("value"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "q" and k[1:3].isdigit()}
 
@@ -308,7 +356,7 @@ def oracle_sql() -> dict[str, str]:
         "q11_select_tiling": f"WITH {TILING_SQL} SELECT * FROM t",
         "q12_token_budget": f"""WITH {TILING_SQL}, g AS (SELECT *, CAST(ceil((tile_rows * 19 + 8) / 2) AS INTEGER) AS gh, CAST(ceil((tile_cols * 19 + 8) / 2) AS INTEGER) AS gw FROM t)
             SELECT p_partkey, gh AS grid_h, gw AS grid_w, tile_rows * tile_cols + 1 AS n_crops, 4 + 14 * 15 + gh * (gw + 1) AS n_tokens, 196 + gh * gw AS n_patch_tokens,
-            length('<low_res_im_start>') + length('<im_end>') + 14 * (14 * length('<im_patch>') + length('<im_col>')) + length('<im_start>') + length('<im_end>') + gh * (gw * length('<im_patch>') + length('<im_col>')) AS n_string_chars FROM g""",
+            md5('<low_res_im_start>' || repeat(repeat('<im_patch>', 14) || '<im_col>', 14) || '<im_end><im_start>' || repeat(repeat('<im_patch>', gw) || '<im_col>', gh) || '<im_end>') AS tokens_md5 FROM g""",
         "q12b_pooling_windows": f"""WITH {TILING_SQL}, d AS (SELECT DISTINCT tile_rows AS r, tile_cols AS c FROM t),
             low AS (SELECT r, c, y.y // 2 * 14 + x.x // 2 AS token, y.y % 2 * 2 + x.x % 2 AS pos, CASE WHEN y.y < 27 AND x.x < 27 THEN y.y * 27 + x.x ELSE -1 END AS patch FROM d, range(28) y(y), range(28) x(x)),
             h AS (SELECT r, c, r * 19 + 8 AS hh, c * 19 + 8 AS ww FROM d),
@@ -353,7 +401,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT conv_id, text, FALSE AS bos_present, array_to_string(list_concat(list_concat(list_transform(range(conv_id % 4), lambda x: 0), [1]), ids), ',') AS input_ids,
               array_to_string(list_concat(list_transform(range(conv_id % 4), lambda x: 0), list_transform(range(n + 1), lambda x: 1)), ',') AS attention_mask FROM b""",
         "q20_registry_check": f"""SELECT s_suppkey, CASE s_name {registry} ELSE s_name END AS model, CASE s_suppkey % 4 WHEN 0 THEN 'm' WHEN 1 THEN 'l' WHEN 2 THEN 'n' ELSE 's' END AS size,
-            (SELECT bool_and('Supplier#' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') IN (SELECT s_name FROM supplier)) FROM supplier s) AS all_present FROM supplier""",
+            (SELECT bool_and('Supplier#' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') IN (SELECT s_name FROM supplier)) FROM supplier s) AS all_present,
+            (SELECT bool_and('Supplier#' || lpad(CAST(s.s_suppkey AS VARCHAR), 9, '0') IN (SELECT s_name FROM supplier WHERE s_suppkey % 7 <> 0)) FROM supplier s) AS most_present FROM supplier""",
         "q21_clip_manifest": f"""WITH {SEGMENTS_SQL}, w AS (SELECT *, CAST(row_number() OVER (PARTITION BY clip ORDER BY s) AS INTEGER) AS segment_no FROM seg)
             SELECT clip, segment_no, clip || '_motion_' || CASE WHEN segment_no < 1000 THEN lpad(CAST(segment_no AS VARCHAR), 3, '0') ELSE CAST(segment_no AS VARCHAR) END || '.mp4' AS file_name, (e - s) / {FPS}::DOUBLE AS duration, e - s + 1 AS n_frames FROM w""",
+        "q22_image_patches": """WITH g AS (SELECT i, j, c, (i + 0.5::DOUBLE) * 1.5::DOUBLE - 0.5::DOUBLE AS sy, (j + 0.5::DOUBLE) * 2 - 0.5::DOUBLE AS sx FROM range(4) a(i), range(4) b(j), range(3) d(c)),
+            w AS (SELECT *, CAST(floor(sy) AS BIGINT) AS y, CAST(floor(sx) AS BIGINT) AS x FROM g),
+            v AS (SELECT p_partkey AS image, i, j, c, sy - y AS dy, sx - x AS dx, (p_partkey * 7 + y * 13 + x * 5 + c * 3) % 256 AS v00, (p_partkey * 7 + (y + 1) * 13 + x * 5 + c * 3) % 256 AS v10,
+              (p_partkey * 7 + y * 13 + (x + 1) * 5 + c * 3) % 256 AS v01, (p_partkey * 7 + (y + 1) * 13 + (x + 1) * 5 + c * 3) % 256 AS v11 FROM part, w)
+            SELECT image, CAST(i // 2 * 2 + j // 2 AS INTEGER) AS patch, CAST((i % 2 * 2 + j % 2) * 3 + c AS INTEGER) AS place,
+              CAST(round_even((v00 * (1 - dy) + v10 * dy) * (1 - dx) + (v01 * (1 - dy) + v11 * dy) * dx, 0) AS INTEGER) AS value FROM v""",
+        "q24_total_clips": f"WITH {SEGMENTS_SQL} SELECT count(*) AS n_clips, count(DISTINCT clip) AS n_sources FROM seg",
+        "q25_label_lines": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, printf('%d %.6f %.6f %.6f %.6f', l_suppkey % 80, l_partkey % 1021 / 1024::DOUBLE, l_partkey % 509 / 1024::DOUBLE, l_partkey % 251 / 1024::DOUBLE, l_partkey % 127 / 1024::DOUBLE) AS line, 'dir.a/' || l_orderkey || '.tar.txt' AS file_name FROM lineitem",
+        "q26_video_string": """SELECT p_partkey, md5(array_to_string(list_transform(range(p_partkey % 4 + 1), lambda k: printf('%.1f', k * (p_size % 4 * 0.25::DOUBLE + 0.125::DOUBLE)) || ' <frame_start>' || repeat(repeat('<im_patch>', p_size % 5 + 1), p_size % 3 + 1) || '<frame_end>'), ' ')) AS tokens_md5 FROM part""",
+        "q27_scatter_add": "SELECT user_id AS sequence, event_id AS pos, round(value::DOUBLE + CASE WHEN event_id % 3 = 2 THEN event_id * 0.5::DOUBLE ELSE 0 END, 6) AS value FROM events",
     }
