@@ -79,6 +79,8 @@ class BackgroundModel:
         count = self.count.copy()
         for k in range(COMPONENTS):
             at = pixels[k < count]
+            if not len(at):
+                break
             self.weight[k, at] = (1 - rate) * self.weight[k, at] - charge
             ask = at[~fitted[at]]
             gap = self.mean[k, ask] - values[ask]
@@ -98,6 +100,8 @@ class BackgroundModel:
             self._rise(ask, np.full(len(ask), k))
         self.weight *= np.divide(1, total, out=np.zeros_like(total), where=total > np.finfo(np.float32).eps)
         new = pixels[~fitted]
+        if not len(new):
+            return ~background
         place = np.minimum(self.count[new], COMPONENTS - 1)
         self.count[new] = place + 1
         alone = place == 0
@@ -113,12 +117,11 @@ class BackgroundModel:
 def _spread(mask: np.ndarray) -> np.ndarray:
     """Each pixel with any pixel of the ellipse around it set; nothing lies beyond the edges."""
     reach = len(ELLIPSE) // 2
-    out = np.zeros_like(mask)
-    wide = np.pad(mask, reach)
-    for row, half in enumerate(ELLIPSE):
-        for column in range(reach - half, reach + half + 1):
-            out |= wide[row : row + mask.shape[0], column : column + mask.shape[1]]
-    return out
+    height, width = mask.shape
+    padded = np.pad(mask, reach)
+    # each row of the ellipse is a run, so the masks of runs are made once and shared by rows of one width
+    runs = {half: np.logical_or.reduce([padded[:, reach + k : reach + k + width] for k in range(-half, half + 1)]) for half in set(ELLIPSE)}
+    return np.logical_or.reduce([runs[half][row : row + height] for row, half in enumerate(ELLIPSE)])
 
 
 def smoothed(mask: np.ndarray) -> np.ndarray:

@@ -286,12 +286,12 @@ def q22_image_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q23_motion_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of a still scene with some noise, in which a square moves while an event's value is high."""
     clips = _frames(spark, sf_dir)
-    at = F.sequence(F.lit(0), F.lit(16 * 24 - 1))
-    y, x = lambda k: F.floor(k / 24), lambda k: k % 24
-    inside = lambda k: (F.col("motion") > THRESHOLD) & (F.abs(y(k) - 8) <= 4) & (F.abs(x(k) - 3 - F.col("frame_idx") % 18) <= 4)
+    at = F.sequence(F.lit(0), F.lit(12 * 16 - 1))
+    y, x = lambda k: F.floor(k / 16), lambda k: k % 16
+    inside = lambda k: (F.col("motion") > THRESHOLD) & (F.abs(y(k) - 6) <= 3) & (F.abs(x(k) - 3 - F.col("frame_idx") % 10) <= 3)
     value = lambda k: F.when(inside(k), 240).otherwise(60 + y(k) * 3 + x(k) * 2 + F.pmod(k * 7 + F.col("frame_idx") * 3, F.lit(3)))
     data = F.unhex(F.array_join(F.transform(at, lambda k: F.lpad(F.hex(value(k).cast("long")), 2, "0")), ""))
-    frames = clips.select("clip", "frame_idx", F.lit(16).alias("height"), F.lit(24).alias("width"), F.lit(1).alias("channels"), data.alias("data"))
+    frames = clips.select("clip", "frame_idx", F.lit(12).alias("height"), F.lit(16).alias("width"), F.lit(1).alias("channels"), data.alias("data"))
     return pixels.motion_percent(frames)
 
 
