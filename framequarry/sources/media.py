@@ -23,9 +23,11 @@ def has_suffix(path: Column, suffixes: tuple[str, ...]) -> Column:
 def list_media(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = IMAGE_SUFFIXES, with_content: bool = False) -> DataFrame:
     """Files of a folder (not of those within it) with one of the suffixes: path, length, and content if asked for.
 
-    The suffix is tested on the path alone, so other files' contents are not read.
+    Files are picked by their names while the folder is listed, in any case of
+    the suffix, so that other files' contents are not read.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
+    any_case = lambda s: "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in s)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").option("pathGlobFilter", "*.{" + ",".join(map(any_case, suffixes)) + "}").load(folder)
     return files.where(has_suffix(F.col("path"), suffixes)).select("path", "length", *(["content"] if with_content else []))
 
 
