@@ -711,3 +711,24 @@ def test_pipeline_stages(spark, tmp_path):
     codec = bpe.Codec(bpe.Vocabulary(bpe.default_path()))
     assert all(codec.decode(np.array(r.token_ids, "<u4").tobytes()) == (r.text or "") for r in left[4].values())
     assert corpus_pipeline.run(spark, sf).count() == len(left[4])
+
+
+def test_pipeline_on_awkward_tables(spark, tmp_path):
+    """An empty table, and one with null ids, repeated rows and columns named as the operators' own."""
+    import corpus_pipeline
+
+    rng = random.Random(18)
+    text = prose(rng, 40)
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    sf = str(tmp_path)
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text + " ", "en", None, None), (None, text, None, "s", 1), (None, None, None, None, None), (3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, "w " * 60_000, "en", "s", 1)]
+    extra = {c: F.lit("x") for c in ("id", "home", "u", "v", "n", "key", "label", "score", "bucket", "region", "bit", "filter_bit", "picked", "component_id", "kept", "set_key", "item_id", "start", "spans")}
+    for number, given in enumerate((rows, [])):
+        at = spark.createDataFrame(given, DOC).withColumns(extra)
+        columns = at.columns
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, at, sf).write.parquet(f"{sf}/{number}-{k}")
+            at = spark.read.parquet(f"{sf}/{number}-{k}")
+            assert at.columns[: len(columns)] == columns
+        assert sorted(map(repr, (r.doc_id for r in at.select("doc_id").collect()))) == (["1", "3", "4", "5", "None", "None"] if given else [])
