@@ -50,12 +50,30 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def _check(spec: dict) -> None:
+    """ValueError where a tokenizer file asks for something that isn't done here: it would give other ids."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = []
+    if spec.get("normalizer") is not None:
+        wrong.append("normalizer")
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        wrong.append("pre_tokenizer")
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        wrong.append("decoder")
+    wrong += [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    if model.get("type", "BPE") != "BPE" or any(x.get(k) for x in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        wrong.append("model or added tokens")
+    if wrong:
+        raise ValueError(f"the tokenizer file's {', '.join(wrong)} can't be followed")
+
+
 class Vocabulary:
     """What encoding and decoding need of a tokenizer file; small enough to send to every worker."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        _check(spec)
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         chars = _byte_chars()

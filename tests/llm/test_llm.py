@@ -456,6 +456,17 @@ def test_bpe_equals_the_library(spark):
     assert bpe.token_digests(frame(spark, []), path).count() == 0
 
 
+def test_bpe_refuses_other_files(tmp_path):
+    import json
+
+    with open(bpe.default_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    for key, value in (("normalizer", {"type": "NFC"}), ("pre_tokenizer", {"type": "Whitespace"}), ("decoder", None), ("model", spec["model"] | {"dropout": 0.1})):
+        (tmp_path / "t.json").write_text(json.dumps(spec | {key: value}))
+        with pytest.raises(ValueError):
+            bpe.Vocabulary(str(tmp_path / "t.json"))
+
+
 # 8
 
 SECRETS = [("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6), ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24)]
