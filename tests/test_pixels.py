@@ -145,3 +145,14 @@ def test_only_absent_parts_are_left_out(monkeypatch):
     with pytest.raises(ModuleNotFoundError):
         __spark_entry__._optional("framequarry.llm.registry")
     monkeypatch.setattr(importlib, "import_module", real)
+
+
+def test_mask_pixels_and_clamp(spark):
+    from pyspark.sql import functions as F
+
+    from framequarry.operators import sampling
+
+    rows = spark.createDataFrame([(0,), (1,), (255,), (None,)], "px int")
+    assert detect.mask_pixels(rows).count() == 2
+    times = spark.createDataFrame([(-1.0,), (0.5,), (9.0,)], "t double").select(sampling.clamp(F.col("t"), F.lit(0.0), F.lit(2.0), 0.1).alias("t"))
+    assert [round(r.t, 6) for r in times.collect()] == [0.1, 0.5, 1.9]
