@@ -72,27 +72,39 @@ def word_features(word: str) -> list[int]:
 
 def _rows(groups: Iterable[set[str]]) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of all groups of words, one after another, and how many each has."""
-    known: dict[str, list[int]] = {}
-    flat: list[int] = []
+    known: dict[str, bytes] = {}
+    flat = bytearray()  # 4 bytes a number, as the driver has to hold those of the whole sample
     sizes = []
     for group in groups:
         before = len(flat)
         for w in sorted(group):
             if w not in known:
-                known[w] = word_features(w)
+                if len(known) >= CACHE_LIMIT:
+                    known.clear()
+                known[w] = np.array(word_features(w), np.int32).tobytes()
             flat += known[w]
-        sizes.append(len(flat) - before)
-    return np.array(flat, np.int64), np.array(sizes, np.int64)
+        sizes.append((len(flat) - before) // 4)
+    return np.frombuffer(flat, np.int32), np.array(sizes, np.int64)
+
+
+def _frequent(flat: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    """The features, sorted, that occur in ``least`` rows at least; row by row, so that nothing but the counts is held."""
+    rows_with = np.zeros(FEATURES, np.int64)
+    at = 0
+    for size in sizes.tolist():
+        rows_with[np.unique(flat[at : at + size])] += 1
+        at += size
+    return np.flatnonzero(rows_with >= least)
 
 
 def _only(flat: np.ndarray, sizes: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows' features among ``kept`` (sorted), by their places there."""
-    if not len(flat) or not len(kept):
-        return flat[:0], np.zeros_like(sizes)
-    at = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
-    good = kept[at] == flat
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return at[good], np.bincount(owner[good], minlength=len(sizes))
+    place = np.full(FEATURES, -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    found = place[flat]
+    good = found >= 0
+    ends = np.append(0, np.cumsum(sizes)).tolist()
+    return found[good], np.array([np.count_nonzero(good[a:b]) for a, b in zip(ends, ends[1:])], np.int64)
 
 
 def swapped_pairs(texts: list[str]) -> list[tuple[str, str | None]]:
@@ -158,10 +170,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, swap_charge: float =
     pairs = np.array([number[pair] for pair in pairs], np.int64)
     sides, pair_sizes = _rows([{x} if x else set() for pair in kinds for x in pair])
     # a feature of too few texts would only learn them by heart
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    per_text = np.unique(flat * len(texts) + owner) // len(texts)
-    kept, texts_with = np.unique(per_text, return_counts=True)
-    kept = kept[texts_with >= LEAST_TEXTS]
+    kept = _frequent(flat, sizes, LEAST_TEXTS)
     flat, sizes = _only(flat, sizes, kept)
     sides, pair_sizes = _only(sides, pair_sizes, kept)
     ends, pair_ends = np.append(0, np.cumsum(sizes)), np.append(0, np.cumsum(pair_sizes))

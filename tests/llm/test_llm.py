@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -302,6 +303,30 @@ def labelled(rng, n, bad):
     return rows
 
 
+def test_toxicity_fit_keeps_to_a_few_bytes_a_feature(monkeypatch):
+    """The driver holds the whole sample: four bytes a feature, and no table of all of them besides."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    rng = random.Random(6)
+    vocabulary = [f"{a}{b}" for a in "abcdefghij" for b in ("".join(rng.choices("klmnopqrst", k=7)) for _ in range(300))]
+    texts = [" ".join(rng.sample(vocabulary, 1500)) for _ in range(400)]
+    count = sum(len(toxicity.word_features(w)) for t in texts for w in toxicity.words(t))
+    tracemalloc.start()
+    toxicity.fit(texts, np.arange(400) % 2, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 2_400_000 and peak < 20 * count
+
+
+def test_toxicity_features_are_kept_by_texts_and_not_by_places():
+    flat, sizes = toxicity._rows([{"abcdef", "abcdeg"}, set(), {"abcdef"}])
+    assert sizes.tolist() == [8, 0, 4] and flat.tolist() == [k for w in ("abcdef", "abcdeg", "abcdef") for k in toxicity.word_features(w)]
+    kept = toxicity._frequent(flat, sizes, 2)
+    assert kept.tolist() == sorted(set(toxicity.word_features("abcdef")))
+    places, left = toxicity._only(flat, sizes, kept)
+    assert left.tolist() == [6, 0, 4] and kept[places].tolist() == [k for k in flat.tolist() if k in kept]
+    assert [x.tolist() for x in toxicity._only(flat[:0], sizes[:0], kept)] == [[], []] and toxicity._only(flat, sizes, kept[:0])[1].tolist() == [0, 0, 0]
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(5)
     rows = labelled(rng, 500, ["blockhead", "blockheads", "numskull", "dimwit"])
