@@ -286,11 +286,8 @@ def _label(frame: DataFrame, name: str, parts: DataFrame, out: str) -> DataFrame
     return frame.join(parts.select(F.col("id").alias(name), F.col("component_id").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
 
 
-def _rarity(texts: DataFrame, width: int) -> np.ndarray:
-    """Levels of how often shingles occur in ``texts``, by the leading bits of their hashes: 1 byte each, whatever the input.
-
-    The levels only order the shingles; any levels give the same links.
-    """
+def _counts(texts: DataFrame, width: int) -> DataFrame:
+    """(bucket, count) of the shingles of ``texts``, by the leading bits of their hashes: parts of the sums, a bucket once for each core at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -302,8 +299,17 @@ def _rarity(texts: DataFrame, width: int) -> np.ndarray:
             part = at[k : k + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], names=["bucket", "count"])
 
+    # one task a core adds up all that the core reads: of many small tasks each would return the region's common shingles again
+    return texts.select("text").coalesce(texts.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "bucket long, count long")
+
+
+def _rarity(texts: DataFrame, width: int) -> np.ndarray:
+    """Levels of how often shingles occur in ``texts``, by the leading bits of their hashes: 1 byte each, whatever the input.
+
+    The levels only order the shingles; any levels give the same links.
+    """
     # 2 ** SKETCH_BITS rows at most
-    found = texts.select("text").mapInArrow(run, "bucket long, count long").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
+    found = _counts(texts, width).groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
     out[found.column("bucket").to_numpy()] = (4 * np.log2(found.column("count").to_numpy())).astype(np.uint8)
     return out

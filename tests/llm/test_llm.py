@@ -191,6 +191,24 @@ def test_linked_sets_share_a_rare_shingle():
     assert met > 500 and not len(near_dedup.rarest(np.empty(0, np.uint64), levels, 80))
 
 
+def test_shingle_counts_do_not_grow_with_the_number_of_tasks(spark):
+    """Near copies in 40 partitions: the common shingles come back once a core, and all are counted."""
+    base = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join([*base[:k], f"x{k}", *base[k:]])) for k in range(200)]
+    texts = spark.createDataFrame(rows, EMPTY).repartition(40)
+    want = np.zeros(1 << near_dedup.SKETCH_BITS, np.int64)
+    for _, text in rows:
+        np.add.at(want, (_shared.shingle_set(text, 3) >> np.uint64(64 - near_dedup.SKETCH_BITS)).astype(np.int64), 1)
+    found = near_dedup._counts(texts, 3).collect()
+    got = np.zeros_like(want)
+    for r in found:
+        got[r.bucket] += r["count"]
+    assert (got == want).all()
+    assert len(found) <= spark.sparkContext.defaultParallelism * np.count_nonzero(want)
+    levels = near_dedup._rarity(texts, 3)
+    assert (levels[want > 0] == (4 * np.log2(want[want > 0])).astype(np.uint8)).all() and not levels[want == 0].any()
+
+
 @pytest.mark.parametrize("block,partners", [(7, 3), (512, 64)])
 def test_dense_regions_in_blocks(spark, monkeypatch, block, partners):
     """One dense region, far above the size of a block, of many components: as brute force finds them."""
